@@ -77,30 +77,31 @@ def prepare_lookups(
         raise DuplicateLookupKeys(f"Codes occur more than once in: {', '.join(doubled)}")
     ready = {}
     for lookup in lookups:
-        row = measured[lookup.name]
-        ready[lookup.name] = ReadyLookup(
-            lookup, row["rows"], row["bytes"], row["bytes"] <= broadcast_limit_bytes
-        )
+        rows, size = 0, 0
+        if lookup.name in measured:
+            rows, size = measured[lookup.name]["rows"], measured[lookup.name]["bytes"]
+        ready[lookup.name] = ReadyLookup(lookup, rows, size, size <= broadcast_limit_bytes)
     return ready
 
 
 def lookup_sizes(lookups: Iterable[Lookup]) -> DataFrame:
-    """One row per lookup: name, rows, distinct codes, bytes in memory."""
-    return reduce(DataFrame.unionAll, [_size(lookup) for lookup in lookups])
+    """One row per lookup that has rows: name, rows, distinct codes, bytes in memory."""
+    codes = reduce(DataFrame.unionAll, [_code_sizes(lookup) for lookup in lookups])
+    per_code = codes.groupBy("name", "_key").agg(
+        F.count("*").alias("copies"), F.sum("bytes").alias("bytes")
+    )
+    return per_code.groupBy("name").agg(
+        F.sum("copies").alias("rows"), F.count("*").alias("codes"), F.sum("bytes").alias("bytes")
+    )
 
 
-def _size(lookup: Lookup) -> DataFrame:
+def _code_sizes(lookup: Lookup) -> DataFrame:
     keyed = lookup.keyed()
     text = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in keyed.columns]
-    row_bytes = reduce(Column.__add__, text, F.lit(ROW_OVERHEAD_BYTES))
-    per_code = keyed.groupBy("_key").agg(
-        F.count("*").alias("copies"), F.sum(row_bytes).alias("bytes")
-    )
-    return per_code.agg(
+    return keyed.select(
         F.lit(lookup.name).alias("name"),
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
-        F.count("*").alias("codes"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        F.col("_key").cast("string").alias("_key"),
+        reduce(Column.__add__, text, F.lit(ROW_OVERHEAD_BYTES)).alias("bytes"),
     )
 
 

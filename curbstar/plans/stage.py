@@ -41,6 +41,9 @@ def stage2_violation(
     """Citations with a plate, a known state and a known plate type, cleaned and described.
 
     The lookups are broadcast when they measure small, so the citations are not shuffled.
+    Cleaning is spread between the lookups: in one projection it would make a generated
+    method too large for the JVM to compile.
+
     ``literal=True`` keeps two older outputs: the body type looked up by violation code, and
     code I on the opposite side of the street.
     """
@@ -53,14 +56,17 @@ def stage2_violation(
     rows = ready["stage_vehicle_plate_type"].join(
         rows, F.col("plate_type"), {"type": "_plate_type"}, "inner"
     )
+    rows = _clean_times(rows)
     rows = ready["stage_violation_code"].join(
         rows, F.col("violation_code"), {"code": "_violation_code"}
     )
     rows = ready["stage_vehicle_body_type"].join(rows, body_code, {"type": "_body_type"})
+    rows = _clean_dates(rows, as_of_year)
     rows = ready["stage_issuing_agency"].join(
         rows, F.col("issuing_agency"), {"agency": "_agency"}
     )
     rows = ready["stage_county"].join(rows, F.col("violation_county"), {"county": "_county"})
+    rows = _clean_place(rows, literal)
     rows = ready["stage_vehicle_color"].join(rows, F.col("vehicle_color"), {"color": "_color"})
 
     described = {
@@ -69,28 +75,43 @@ def stage2_violation(
         "violation_code": F.col("_violation_code"),
         "vehicle_body_type": F.col("_body_type"),
         "issuing_agency": F.col("_agency"),
-        "violation_county": codes.or_unknown(F.col("_county")),
+        "violation_county": F.col("_county"),
         "vehicle_color": F.col("_color"),
     }
-    cleaned = {
-        "violation_precinct": codes.fill_precinct(
-            F.col("violation_precinct"), F.col("issuer_precinct")
-        ),
-        "violation_time": times.normalize_time(F.col("violation_time")),
-        "time_first_observed": times.normalize_time(F.col("time_first_observed")),
-        "violation_in_front_of_or_opposite": codes.front_or_opposite(
-            F.col("violation_in_front_of_or_opposite"), literal
-        ),
-        "house_number": codes.or_unknown(F.col("house_number")),
-        "street_name": codes.or_unknown(F.col("street_name")),
-        "intersecting_street": codes.or_unknown(F.col("intersecting_street")),
-        "date_first_observed": dates.first_observed_date(
-            F.col("date_first_observed"), F.col("issue_date")
-        ),
-        "vehicle_year": codes.valid_model_year(F.col("vehicle_year"), as_of_year),
-    }
-    computed = described | cleaned
     columns = [
-        computed.get(name, F.col(name)).alias(name) for name in STAGE2_VIOLATION.names
+        described.get(name, F.col(name)).alias(name) for name in STAGE2_VIOLATION.names
     ]
     return conform(rows.select(*columns), STAGE2_VIOLATION)
+
+
+def _clean_times(rows: DataFrame) -> DataFrame:
+    names = ("violation_time", "time_first_observed")
+    return rows.withColumns({name: times.normalize_time(F.col(name)) for name in names})
+
+
+def _clean_dates(rows: DataFrame, as_of_year: int) -> DataFrame:
+    return rows.withColumns(
+        {
+            "date_first_observed": dates.first_observed_date(
+                F.col("date_first_observed"), F.col("issue_date")
+            ),
+            "vehicle_year": codes.valid_model_year(F.col("vehicle_year"), as_of_year),
+        }
+    )
+
+
+def _clean_place(rows: DataFrame, literal: bool) -> DataFrame:
+    unknown = {
+        name: codes.or_unknown(F.col(name))
+        for name in ("_county", "house_number", "street_name", "intersecting_street")
+    }
+    side = "violation_in_front_of_or_opposite"
+    return rows.withColumns(
+        unknown
+        | {
+            "violation_precinct": codes.fill_precinct(
+                F.col("violation_precinct"), F.col("issuer_precinct")
+            ),
+            side: codes.front_or_opposite(F.col(side), literal),
+        }
+    )

@@ -42,8 +42,9 @@ def append_table(
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The declared columns of a stored table, by name."""
-    return conform(spark.read.parquet(path), schema)
+    """The declared columns of a stored table, by name; directory columns are left out."""
+    stored = spark.read.parquet(path)
+    return conform(stored.select(*[c for c in stored.columns if c in schema.names]), schema)
 
 
 def record_run(spark: SparkSession, root: str, run_id: str) -> None:
