@@ -106,9 +106,9 @@ def test_vehicles_are_reduced_before_one_shuffle(stage2):
 
 def test_places_are_merged_by_hash_before_they_get_a_key(stage2):
     text = plan(star.location_dimension(stage2))
-    assert text.count("HashAggregate") == 2 and "Window" not in text
-    # The key is first seen above the hash aggregates, which are above the scan.
-    assert text.rindex("id#") < text.index("HashAggregate") < text.index("FileScan")
+    assert text.count("HashAggregate") == 2 and text.count("SortAggregate") == 2
+    assert text.rindex("SortAggregate") < text.index("HashAggregate") < text.index("FileScan")
+    assert "Window" not in text
 
 
 # --- Properties of the star ---------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,10 +70,34 @@ def _stage2(spark: SparkSession, sf_dir: str, literal: bool = False) -> DataFram
     return stage.stage2_violation(tables["stage_violation"], ready, AS_OF_YEAR, literal)
 
 
-def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star over a stored stage 2, for queries that read several of its tables."""
-    stage2 = stored(_stage2(spark, sf_dir), "stage2")
-    return star.star(stage2, fixtures.staging_table(spark, sf_dir, "stage_violation_code"))
+# What the keys of the star are made of.
+_VEHICLE_KEY = ("plate_id", "registration_state", "plate_type")
+_ALL_KEYS = (
+    "summons_number",
+    "issue_date",
+    "date_first_observed",
+    "violation_code",
+    "violation_time",
+    "time_first_observed",
+    *_VEHICLE_KEY,
+    *star.PLACE_COLUMNS,
+)
+
+
+def _star(
+    spark: SparkSession, sf_dir: str, columns: Sequence[str] = S.STAGE2_VIOLATION.names
+) -> dict[str, DataFrame]:
+    """The star over a stored stage 2, for queries that read several of its tables.
+
+    Only ``columns`` of stage 2 are computed and stored; the others are null.
+    """
+    stage2 = _stage2(spark, sf_dir)
+    kept = [
+        F.col(f.name) if f.name in columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in S.STAGE2_VIOLATION
+    ]
+    narrow = stored(stage2.select(*kept), "stage2")
+    return star.star(narrow, fixtures.staging_table(spark, sf_dir, "stage_violation_code"))
 
 
 def _from_stage(spark: SparkSession, sf_dir: str, **columns: Column) -> DataFrame:
@@ -673,7 +697,7 @@ def check_stage(spark, sf_dir):
 
 @query
 def check_fact_dimension(spark, sf_dir):
-    return gates.loaded_gate(_star(spark, sf_dir))
+    return gates.loaded_gate(_star(spark, sf_dir, _ALL_KEYS))
 
 
 @query
@@ -693,19 +717,19 @@ def check_min_percentage(spark, sf_dir):
 
 @query
 def check_primary_keys(spark, sf_dir):
-    return checks.primary_key_report(_star(spark, sf_dir), S.PRIMARY_KEYS)
+    return checks.primary_key_report(_star(spark, sf_dir, _ALL_KEYS), S.PRIMARY_KEYS)
 
 
 @query
 def check_references(spark, sf_dir):
-    tables = _star(spark, sf_dir)
+    tables = _star(spark, sf_dir, _ALL_KEYS)
     return checks.reference_report(tables["violation"], tables, S.REFERENCES)
 
 
 @query
 def check_null_keys(spark, sf_dir):
     columns = {"vehicle": ["id"], "location": ["id"], "violation": ["vehicle", "location"]}
-    return checks.null_key_report(_star(spark, sf_dir), columns)
+    return checks.null_key_report(_star(spark, sf_dir, _ALL_KEYS), columns)
 
 
 # --- Questions ----------------------------------------------------------------------------
@@ -725,11 +749,12 @@ def top_hours(spark, sf_dir):
 
 @query
 def top_vehicle_types(spark, sf_dir):
-    tables = _star(spark, sf_dir)
+    attributes = ("summons_number", "issue_date", "vehicle_body_type")
+    tables = _star(spark, sf_dir, (*_VEHICLE_KEY, *attributes))
     return questions.top_vehicle_types(tables["violation"], tables["vehicle"])
 
 
 @query
 def top_places(spark, sf_dir):
-    tables = _star(spark, sf_dir)
+    tables = _star(spark, sf_dir, star.PLACE_COLUMNS)
     return questions.top_places(tables["violation"], tables["location"], TOP_PLACES)
