@@ -1,8 +1,8 @@
-"""Rows by key: one representative per key, distinct values of several columns, repeats."""
+"""Rows by key: a representative per key, distinct values, repeats, frequencies."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -42,7 +42,13 @@ def repeated_key_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.join(repeated, same, "left_semi")
 
 
-def repeated_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys that occur more than once, with their number of rows; null keys left out."""
-    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    return counted.filter(F.col("n") > 1)
+def code_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Rows per value of each column: column_name, code, n. Null is a value of its own.
+
+    One scan; values are counted before the shuffle, so a frequent code moves as one row
+    per task.
+    """
+    columns = list(columns)
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    melted = texts.unpivot([], columns, "column_name", "code")
+    return melted.groupBy("column_name", "code").agg(F.count("*").alias("n"))

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curbstar.operators.keyed import code_counts
+
 # Largest measured lookup that is sent to every executor.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 # Fixed part of a row held in a hash relation, beside its text.
@@ -105,18 +107,6 @@ def _code_sizes(lookup: Lookup) -> DataFrame:
     )
 
 
-def code_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Rows per value of each column: column_name, code, n. Null is a value of its own.
-
-    One scan; values are counted before the shuffle, so a frequent code moves as one row
-    per task.
-    """
-    columns = list(columns)
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    melted = texts.unpivot([], columns, "column_name", "code")
-    return melted.groupBy("column_name", "code").agg(F.count("*").alias("n"))
-
-
 def unmatched(
     df: DataFrame, lookups: Mapping[str, tuple[Lookup, str]]
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbstar.functions import times
-from curbstar.operators.lookup import code_counts
+from curbstar.operators.keyed import code_counts
 
 
 def measure(df: DataFrame, label: str, rows: Mapping[str, Mapping[str, Column]]) -> DataFrame:

@@ -63,6 +63,34 @@ def test_a_large_lookup_is_not_broadcast_by_hint(cars, colors):
     assert "strategy=broadcast" not in plan(ready.join(cars, F.col("vehicle_color"), {"color": "c"}))
 
 
+def test_a_hot_code_of_a_large_lookup_is_split_over_tasks(spark):
+    cars = spark.range(0, 200000, 1, 8).select(
+        "id", F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("c"), F.col("id") % 5000)).alias("code")
+    )
+    names = spark.range(5000).select(F.concat(F.lit("C"), "id").alias("code"), F.col("id").alias("n"))
+    names = names.union(spark.createDataFrame([("hot", -1)], "code string, n bigint"))
+    ready = prepare_lookups([Lookup("names", names, "code")], 0)["names"]
+    forced = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {name: spark.conf.get(name, None) for name in forced}
+    for name, value in forced.items():
+        spark.conf.set(name, value)
+    try:
+        joined = ready.join(cars, F.col("code"), {"n": "number"}).filter("number IS NOT NULL")
+        counted = joined.groupBy("number").count()
+        result = {r["number"]: r["count"] for r in counted.collect()}
+        assert "skew=true" in plan(counted)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert result[-1] == 66667 and sum(result.values()) == 200000
+
+
 def test_lookup_size_is_measured(colors):
     ready = prepare_lookups([Lookup("colors", colors, "code")])["colors"]
     assert ready.rows == 3
@@ -214,6 +242,12 @@ def test_distinct_attributes_can_require_columns(spark):
     assert rows(profile.distinct_attributes(df, ["k", "v"], ["k"])) == [("a", 1)]
 
 
+def test_rows_by_null(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    assert rows(profile.rows_where_null(df, "k")) == [(None, 2)]
+    assert rows(profile.rows_where_not_null(df, "k")) == [("a", 1)]
+
+
 def test_all_match_passes_over_nulls_and_sentinels(spark):
     df = spark.createDataFrame([("20,190,625",), ("0",), (None,)], "d string")
     rule = {"d": (F.col("d"), F.lit("0"), r"^\d{2},\d{3},\d{3}$")}

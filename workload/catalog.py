@@ -84,7 +84,7 @@ _ALL_KEYS = (
 )
 
 
-def _star(
+def star_tables(
     spark: SparkSession, sf_dir: str, columns: Sequence[str] = S.STAGE2_VIOLATION.names
 ) -> dict[str, DataFrame]:
     """The star over a stored stage 2, for queries that read several of its tables.
@@ -697,7 +697,7 @@ def check_stage(spark, sf_dir):
 
 @query
 def check_fact_dimension(spark, sf_dir):
-    return gates.loaded_gate(_star(spark, sf_dir, _ALL_KEYS))
+    return gates.loaded_gate(star_tables(spark, sf_dir, _ALL_KEYS))
 
 
 @query
@@ -717,19 +717,19 @@ def check_min_percentage(spark, sf_dir):
 
 @query
 def check_primary_keys(spark, sf_dir):
-    return checks.primary_key_report(_star(spark, sf_dir, _ALL_KEYS), S.PRIMARY_KEYS)
+    return checks.primary_key_report(star_tables(spark, sf_dir, _ALL_KEYS), S.PRIMARY_KEYS)
 
 
 @query
 def check_references(spark, sf_dir):
-    tables = _star(spark, sf_dir, _ALL_KEYS)
+    tables = star_tables(spark, sf_dir, _ALL_KEYS)
     return checks.reference_report(tables["violation"], tables, S.REFERENCES)
 
 
 @query
 def check_null_keys(spark, sf_dir):
     columns = {"vehicle": ["id"], "location": ["id"], "violation": ["vehicle", "location"]}
-    return checks.null_key_report(_star(spark, sf_dir, _ALL_KEYS), columns)
+    return checks.null_key_report(star_tables(spark, sf_dir, _ALL_KEYS), columns)
 
 
 # --- Questions ----------------------------------------------------------------------------
@@ -737,24 +737,24 @@ def check_null_keys(spark, sf_dir):
 
 @query
 def top_months(spark, sf_dir):
-    stage2 = _stage2(spark, sf_dir)
-    return questions.top_months(star.violation_fact(stage2), star.date_dimension(stage2))
+    tables = star_tables(spark, sf_dir, ("issue_date", "date_first_observed"))
+    return questions.top_months(tables["violation"], tables["date"])
 
 
 @query
 def top_hours(spark, sf_dir):
-    stage2 = _stage2(spark, sf_dir)
-    return questions.top_hours(star.violation_fact(stage2), star.time_dimension(stage2))
+    tables = star_tables(spark, sf_dir, ("violation_time", "time_first_observed"))
+    return questions.top_hours(tables["violation"], tables["time"])
 
 
 @query
 def top_vehicle_types(spark, sf_dir):
     attributes = ("summons_number", "issue_date", "vehicle_body_type")
-    tables = _star(spark, sf_dir, (*_VEHICLE_KEY, *attributes))
+    tables = star_tables(spark, sf_dir, (*_VEHICLE_KEY, *attributes))
     return questions.top_vehicle_types(tables["violation"], tables["vehicle"])
 
 
 @query
 def top_places(spark, sf_dir):
-    tables = _star(spark, sf_dir, star.PLACE_COLUMNS)
+    tables = star_tables(spark, sf_dir, star.PLACE_COLUMNS)
     return questions.top_places(tables["violation"], tables["location"], TOP_PLACES)
