@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -13,8 +14,12 @@ ANY_DATE_FORMATS = (V.ISSUE_DATE_FORMAT, V.COMPACT_DATE_FORMAT, V.ISO_DATE_FORMA
 
 
 def parse_date(text: Column, date_format: str) -> Column:
-    """The date in one layout; null when the text does not parse."""
-    return F.try_to_date(text, date_format)
+    """The date in one layout; null when the text does not parse.
+
+    The layout is tested first: a text of another layout would cost an exception per row.
+    """
+    shape = re.sub("[a-zA-Z]", "[0-9]", date_format)
+    return F.when(text.rlike(f"^{shape}$"), F.try_to_date(text, date_format))
 
 
 def parse_any_date(text: Column, formats: Sequence[str] = ANY_DATE_FORMATS) -> Column:
@@ -26,7 +31,7 @@ def parse_comma_date(text: Column) -> Column:
     """The date of ``20,190,625``; null for the zero placeholder and impossible dates."""
     digits = F.replace(text, F.lit(","), F.lit(""))
     return F.when(
-        digits.rlike(V.EIGHT_DIGITS_PATTERN), parse_date(digits, V.COMPACT_DATE_FORMAT)
+        digits.rlike(V.EIGHT_DIGITS_PATTERN), F.try_to_date(digits, V.COMPACT_DATE_FORMAT)
     )
 
 
