@@ -68,12 +68,16 @@ class JsonRecords:
 
 @dataclass(frozen=True)
 class LoadSettings:
-    """``as_of_year`` bounds model years, so that a rerun gives the same star."""
+    """``as_of_year`` bounds model years, so that a rerun gives the same star.
+
+    ``literal=True`` keeps the older outputs of stage 2 and of the stand-in times.
+    """
 
     as_of_year: int
     fact_partition: Mapping[str, Column] | None = None
     broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES
     require_unique_keys: bool = False
+    literal: bool = False
 
 
 @dataclass(frozen=True)
@@ -113,14 +117,15 @@ def load_star(
         checks.enforce(gates.raw_gate(staging["stage_violation"]))
 
         ready = prepare_lookups(stage.lookups(staging), settings.broadcast_limit_bytes)
-        stage2 = write(
-            "stage2_violation",
-            stage.stage2_violation(staging["stage_violation"], ready, settings.as_of_year),
+        cleaned = stage.stage2_violation(
+            staging["stage_violation"], ready, settings.as_of_year, settings.literal
         )
+        stage2 = write("stage2_violation", cleaned)
+        made = star.star(stage2, staging["stage_violation_code"], settings.literal)
         options = {"violation": {"partition_by": settings.fact_partition}}
         loading = {
             name: pool.submit(lambda n=name, t=table: write(n, t, **options.get(n, {})))
-            for name, table in star.star(stage2, staging["stage_violation_code"]).items()
+            for name, table in made.items()
         }
         tables = {name: job.result() for name, job in loading.items()}
 

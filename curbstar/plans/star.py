@@ -137,15 +137,17 @@ def violation_fact(stage2: DataFrame, literal: bool = False) -> DataFrame:
     return conform(stage2.select(*columns), S.VIOLATION)
 
 
-def star(stage2: DataFrame, violation_codes: DataFrame) -> dict[str, DataFrame]:
+def star(
+    stage2: DataFrame, violation_codes: DataFrame, literal: bool = False
+) -> dict[str, DataFrame]:
     """All six tables by name. Stage 2 is read once per table, so give a stored one."""
     return {
         "violation_code": violation_code_dimension(violation_codes),
         "date": date_dimension(stage2),
-        "time": time_dimension(stage2),
+        "time": time_dimension(stage2, literal),
         "location": location_dimension(stage2),
         "vehicle": vehicle_dimension(stage2),
-        "violation": violation_fact(stage2),
+        "violation": violation_fact(stage2, literal),
     }
 
 

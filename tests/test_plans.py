@@ -234,6 +234,17 @@ def test_literal_times_differ_only_in_the_stand_in(spark):
     assert star.violation_fact(rows2, literal=True).first()["time_first_observed"] == 130
 
 
+def test_a_literal_star_uses_literal_times(stage2, tables, loaded):
+    literal = star.star(stage2, tables["stage_violation_code"], literal=True)
+    for name in ("location", "vehicle", "date"):
+        assert rows(literal[name]) == rows(loaded[name])
+    extra = literal["time"].join(loaded["time"], "time", "left_anti")
+    assert extra.count() > 0
+    report = checks.reference_report(literal["violation"], literal, S.REFERENCES)
+    times_used = report.filter("dimension = 'time'").collect()
+    assert len(times_used) == 2 and all(r["orphan_keys"] == 0 for r in times_used)
+
+
 def test_gates_fail_on_seeded_defects(spark, tables):
     citations = tables["stage_violation"]
     checks.enforce(gates.raw_gate(citations))

@@ -477,6 +477,16 @@ def fact_violation(spark, sf_dir):
     return star.violation_fact(_stage2(spark, sf_dir))
 
 
+@query
+def dim_time_literal(spark, sf_dir):
+    return star.time_dimension(_stage2(spark, sf_dir, literal=True), literal=True)
+
+
+@query
+def fact_violation_literal(spark, sf_dir):
+    return star.violation_fact(_stage2(spark, sf_dir, literal=True), literal=True)
+
+
 # --- Last known values --------------------------------------------------------------------
 
 

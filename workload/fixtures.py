@@ -9,6 +9,8 @@ Spark picks at scale; without it a small run would broadcast them.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,8 +107,12 @@ def duckdb_text(template: str) -> str:
     return template.format(**names)
 
 
+@lru_cache(maxsize=None)
 def staging_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One derived staging table, read straight from the given files it needs."""
+    """One derived staging table, read straight from the given files it needs.
+
+    The plan is kept per session, so that schemas are not looked up again; no data is.
+    """
     files = {table: f"parquet.`{sf_dir}/{table}.parquet`" for table in GIVEN_TABLES}
     return spark.sql(SQL[name].format(**files))
 

@@ -142,24 +142,33 @@ WHERE d IS NOT NULL""",
     ("stage2",),
 )
 _VM, _OM = _minutes("violation_time"), _minutes("time_first_observed")
-_PARTS["time"] = (
-    f"""
+
+
+def _times_and_facts(suffix: str, stand_in: str) -> None:
+    """The time and fact tables over one form of stage 2."""
+    stage2 = f"stage2{suffix}"
+    observed = f"coalesce({_OM}, {stand_in})"
+    _PARTS[f"time{suffix}"] = (
+        f"""
 SELECT t AS time, CAST(t % 60 AS INT) AS minutes, CAST(t // 60 AS INT) AS hours
-FROM (SELECT coalesce({_VM}, {_OM}) AS t FROM stage2
-      UNION SELECT coalesce({_OM}, {_VM}) FROM stage2)
+FROM (SELECT coalesce({_VM}, {_OM}) AS t FROM {stage2} UNION SELECT {observed} FROM {stage2})
 WHERE t IS NOT NULL""",
-    ("stage2",),
-)
-_PARTS["violation"] = (
-    f"""
+        (stage2,),
+    )
+    _PARTS[f"violation{suffix}"] = (
+        f"""
 SELECT summons_number, {_VEHICLE_ID} AS vehicle, ifnull(violation_code, 99) AS violation_code,
-  issue_date, coalesce({_VM}, {_OM}) AS violation_time,
-  coalesce({_OM}, {_VM}) AS time_first_observed, date_first_observed, {_LOCATION_ID} AS location,
-  issuing_agency, ifnull(violation_in_front_of_or_opposite, 'Unknown') AS in_front_of_or_opposite,
-  law_section, ifnull(sub_division, 'Unknown') AS sub_division
-FROM stage2""",
-    ("stage2",),
-)
+  issue_date, coalesce({_VM}, {_OM}) AS violation_time, {observed} AS time_first_observed,
+  date_first_observed, {_LOCATION_ID} AS location, issuing_agency,
+  ifnull(violation_in_front_of_or_opposite, 'Unknown') AS in_front_of_or_opposite, law_section,
+  ifnull(sub_division, 'Unknown') AS sub_division
+FROM {stage2}""",
+        (stage2,),
+    )
+
+
+_times_and_facts("", _VM)
+_times_and_facts("_literal", "CAST(violation_time AS INT)")
 _STAR = tuple(PRIMARY_KEYS)
 
 
@@ -566,6 +575,8 @@ WHERE upper(v.plate_type) = upper(p.code)""",
     for table in ("violation_code", "date", "time", "location", "vehicle"):
         out[f"dim_{table}"] = statement(f'SELECT * FROM "{table}"', table)
     out["fact_violation"] = statement("SELECT * FROM violation", "violation")
+    out["dim_time_literal"] = statement("SELECT * FROM time_literal", "time_literal")
+    out["fact_violation_literal"] = statement("SELECT * FROM violation_literal", "violation_literal")
 
     # Last known values
     out["last_body_type"] = _last("vehicle_body_type", "body_type", "Unknown")
