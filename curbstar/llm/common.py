@@ -88,3 +88,9 @@ class WordRuns:
         at = np.arange(owner_end.size)
         at = at[at + k <= owner_end]
         return at, self.hashes(at, at + k - 1)
+
+
+def without(documents: DataFrame, ids: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """Rows of ``documents`` whose id is not in ``ids``; rows without an id stay."""
+    bad = ids.select(F.col(ids.columns[0]).cast("long").alias("__bad_id")).distinct()
+    return documents.join(bad, F.col(doc_id) == F.col("__bad_id"), "left_anti")

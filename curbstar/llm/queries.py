@@ -6,14 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbstar.llm import ngram_join
+from curbstar.llm import decontaminate, mixing, ngram_join, quality
 from curbstar.llm.common import table
 
 
+def op2_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mixed_documents(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.matched_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contamination(hits)
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judged_documents(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_weighted_mix": op2_weighted_mix,
+    "op4_decontaminate": op4_decontaminate,
     "op8_ngram_join": op8_ngram_join,
+    "op9_quality_rules": op9_quality_rules,
 }
