@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbstar.llm import decontaminate, mixing, ngram_join, quality
+from curbstar.llm import decontaminate, line_dedup, mixing, ngram_join, quality
 from curbstar.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(hits)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_documents(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_weighted_mix": op2_weighted_mix,
     "op4_decontaminate": op4_decontaminate,
+    "op6_line_dedup": op6_line_dedup,
     "op8_ngram_join": op8_ngram_join,
     "op9_quality_rules": op9_quality_rules,
 }

@@ -100,3 +100,21 @@ def mix_targets(sizes, weights=(1, 2, 3), percent=100, most=3):
         if not new:
             return {s: float(most * sizes[s]) if s in capped else left * weight[s] / base for s in order}
         capped |= new
+
+
+def removed_lines(rows, percent=80, least=5):
+    """{(doc_id, line)} with an earlier line of similar words; rows: (doc_id, text), ids apart."""
+    lines = []
+    for d, text in sorted((r for r in rows), key=lambda r: (r[0] is None, r[0] or 0)):
+        for i, line in enumerate((text or "").split("\n")):
+            s = frozenset(x for x in re.split("[\x20\x09-\x0d]+", line.lower()) if x)
+            if len(s) >= least:
+                lines.append(((d, i), s))
+    holders, out = defaultdict(list), set()
+    for k, (at, s) in enumerate(lines):
+        both = Counter(j for w in s for j in holders[w])
+        if any(100 * n >= percent * (len(s) + len(lines[j][1]) - n) for j, n in both.items()):
+            out.add(at)
+        for w in s:
+            holders[w].append(k)
+    return out
