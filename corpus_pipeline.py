@@ -24,8 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat or nearly repeat an earlier one."""
-    return line_dedup.deduplicated_documents(docs)
+    """Documents without lines that repeat or nearly repeat an earlier one, their length counted anew."""
+    return line_dedup.deduplicated_documents(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
