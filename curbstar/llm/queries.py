@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbstar.llm import decontaminate, line_dedup, mixing, ngram_join, quality
+from curbstar.llm import decontaminate, line_dedup, mixing, ngram_join, pii, quality
 from curbstar.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op2_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_report(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.matched_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.contamination(hits)
@@ -37,6 +41,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_weighted_mix": op2_weighted_mix,
+    "op3_personal_data": op3_personal_data,
     "op4_decontaminate": op4_decontaminate,
     "op6_line_dedup": op6_line_dedup,
     "op8_ngram_join": op8_ngram_join,

@@ -118,3 +118,43 @@ def removed_lines(rows, percent=80, least=5):
         for w in s:
             holders[w].append(k)
     return out
+
+
+BASE_KINDS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _luhn(digits):
+    double = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+    return sum(x - 9 if x > 9 else x for x in double) % 10 == 0
+
+
+def base_spans(text):
+    out = []
+    for kind, regex in BASE_KINDS.items():
+        for m in re.finditer(regex, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            fits = {
+                "email": lambda: True,
+                "ip": lambda m=m: all(int(p) <= 255 for p in m[0].split(".")),
+                "card": lambda d=digits: 16 <= len(d) <= 19 and _luhn(d),
+                "phone": lambda d=digits: 8 <= len(d) <= 15,
+            }
+            if fits[kind]():
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def personal(rows):
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256)."""
+    out = []
+    for d, text in rows:
+        spans = base_spans(text)
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        counts = [sum(s[0] == k for s in spans) for k in BASE_KINDS]
+        out.append((d, *counts, hashlib.sha256(joined.encode()).hexdigest()))
+    return out
