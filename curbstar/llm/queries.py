@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbstar.llm import decontaminate, line_dedup, mixing, ngram_join, pii, quality
+from curbstar.llm import decontaminate, licenses, line_dedup, mixing, ngram_join, pii, quality
 from curbstar.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_weighted_mix": op2_weighted_mix,
     "op3_personal_data": op3_personal_data,
@@ -46,4 +50,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": op6_line_dedup,
     "op8_ngram_join": op8_ngram_join,
     "op9_quality_rules": op9_quality_rules,
+    "op10_license_scan": op10_license_scan,
 }

@@ -102,14 +102,14 @@ def mix_targets(sizes, weights=(1, 2, 3), percent=100, most=3):
         capped |= new
 
 
-def removed_lines(rows, percent=80, least=5):
-    """{(doc_id, line)} with an earlier line of similar words; rows: (doc_id, text), ids apart."""
+def removed_lines(rows, percent=80):
+    """{(doc_id, line)} with an earlier line of similar shingles; rows: (doc_id, text), ids apart."""
     lines = []
-    for d, text in sorted((r for r in rows), key=lambda r: (r[0] is None, r[0] or 0)):
+    for d, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         for i, line in enumerate((text or "").split("\n")):
-            s = frozenset(x for x in re.split("[\x20\x09-\x0d]+", line.lower()) if x)
-            if len(s) >= least:
-                lines.append(((d, i), s))
+            w = space_words(line.lower())
+            if len(w) >= 5:
+                lines.append(((d, i), {tuple(w[k : k + 5]) for k in range(len(w) - 4)}))
     holders, out = defaultdict(list), set()
     for k, (at, s) in enumerate(lines):
         both = Counter(j for w in s for j in holders[w])
@@ -158,3 +158,17 @@ def personal(rows):
         counts = [sum(s[0] == k for s in spans) for k in BASE_KINDS]
         out.append((d, *counts, hashlib.sha256(joined.encode()).hexdigest()))
     return out
+
+
+PHRASE_LABELS = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
+
+
+def license_base(rows):
+    """(doc_id, n_words, n_base, first_word, last_word, base_labels)."""
+    out = []
+    for d, text in rows:
+        w = plain_words(text)
+        places = [(i, label) for p, label in PHRASE_LABELS for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
+        at = [i for i, _ in places]
+        out.append((d, len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places}))))
+    return out
