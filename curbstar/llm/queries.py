@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbstar.llm import decontaminate, licenses, line_dedup, mixing, ngram_join, pii, quality
+from curbstar.llm import decontaminate, licenses, line_dedup, main_text, mixing, ngram_join, pii, quality
 from curbstar.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extracted_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_documents(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_personal_data": op3_personal_data,
     "op4_decontaminate": op4_decontaminate,
     "op6_line_dedup": op6_line_dedup,
+    "op7_main_text": op7_main_text,
     "op8_ngram_join": op8_ngram_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_license_scan": op10_license_scan,
