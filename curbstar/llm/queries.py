@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbstar.llm import decontaminate, licenses, line_dedup, main_text, mixing, ngram_join, pii, quality
+from curbstar.llm import decontaminate, licenses, line_dedup, main_text, mixing, ngram_join, pii, quality, token_counts, warc
 from curbstar.llm.common import table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_tokens(table(spark, sf_dir, "documents"))
+
+
 def op2_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mixed_documents(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -24,6 +28,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(hits)
 
 
+def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(table(spark, sf_dir, "pages"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
@@ -48,9 +56,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_weighted_mix": op2_weighted_mix,
     "op3_personal_data": op3_personal_data,
     "op4_decontaminate": op4_decontaminate,
+    "op5_warc_archive": op5_warc_archive,
     "op6_line_dedup": op6_line_dedup,
     "op7_main_text": op7_main_text,
     "op8_ngram_join": op8_ngram_join,

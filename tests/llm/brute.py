@@ -172,3 +172,21 @@ def license_base(rows):
         at = [i for i, _ in places]
         out.append((d, len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places}))))
     return out
+
+
+def archived(rows):
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to); rows: (page_id, html)."""
+    import base64
+
+    payloads = [(p, (h or "").encode()) for p, h in rows]
+    groups = defaultdict(list)
+    for p, x in payloads:
+        groups[x].append(p)
+    out = []
+    for p, x in payloads:
+        known = [i for i in groups[x] if i is not None]
+        keeper = max(known, default=None)
+        revisit = keeper is not None and p != keeper
+        digest = base64.b32encode(hashlib.sha1(x).digest()).decode()
+        out.append((p, len(x), digest, "revisit" if revisit else "response", keeper if revisit else None))
+    return out
