@@ -14,10 +14,6 @@ from curbstar.operators.profile import measure
 
 LOG = logging.getLogger(__name__)
 
-# A statement check looks at an aggregate. More records than this are not brought to the
-# driver; the check is refused instead.
-MAX_STATEMENT_RECORDS = 1000
-
 
 class DataQualityError(ValueError):
     """A check failed."""
@@ -91,33 +87,55 @@ def enforce(report: DataFrame) -> list[Row]:
     return rows
 
 
-def enforce_statements(
-    spark: SparkSession,
-    checks: Sequence[tuple[str, Callable[[list[Row]], bool]]],
-) -> None:
-    """Run (statement, predicate on its records) pairs in order; raise at the first failure."""
-    for statement, predicate in checks:
-        records = spark.sql(statement).take(MAX_STATEMENT_RECORDS + 1)
-        if len(records) > MAX_STATEMENT_RECORDS:
-            raise DataQualityError(f"Statement returns too many records to check: {statement}")
-        if not predicate(records):
-            raise DataQualityError(f"Check failed: {statement}")
-        LOG.info("Check passed: %s", statement)
+@dataclass(frozen=True)
+class Statement:
+    """A query whose records must all meet a condition.
 
+    ``condition`` is an expression over the columns of the result; null counts as unmet.
+    ``records`` is how many there must be, None for any number above zero.
+    """
 
-def one_positive_value(records: list[Row]) -> bool:
-    """Predicate: exactly one record with one value, above zero."""
-    return len(records) == 1 and len(records[0]) == 1 and records[0][0] > 0
+    name: str
+    sql: str
+    condition: str
+    records: int | None = 1
 
 
-def one_value_at_least(minimum: float) -> Callable[[list[Row]], bool]:
-    """Predicate: exactly one record with one value that is not below ``minimum``."""
+def statement_report(
+    spark: SparkSession, statement: Statement, tables: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
+    """One row: check_name, records, unmet, passed. Records are counted where they are made.
 
-    def predicate(records: list[Row]) -> bool:
-        single = len(records) == 1 and len(records[0]) == 1
-        return single and records[0][0] is not None and records[0][0] >= minimum
+    The query names the given ``tables`` in braces, as in ``SELECT count(*) FROM {violation}``.
+    """
+    found = spark.sql(statement.sql, **(tables or {})).agg(
+        F.count("*").alias("records"),
+        F.count_if(~F.coalesce(F.expr(statement.condition), F.lit(False))).alias("unmet"),
+    )
+    number = F.col("records")
+    enough = number > 0 if statement.records is None else number == statement.records
+    return found.select(
+        F.lit(statement.name).alias("check_name"),
+        number,
+        "unmet",
+        (enough & (F.col("unmet") == 0)).alias("passed"),
+    )
 
-    return predicate
+
+def enforce_in_order(
+    spark: SparkSession,
+    statements: Sequence[Statement],
+    tables: Mapping[str, DataFrame] | None = None,
+) -> None:
+    """Evaluate statements one by one and raise at the first that fails; later ones do not run."""
+    for statement in statements:
+        result = statement_report(spark, statement, tables).first()
+        if not result["passed"]:
+            raise DataQualityError(
+                f"Check {statement.name} failed: {result['unmet']} of {result['records']} "
+                f"records unmet, expected {statement.records or 'some'}: {statement.sql}"
+            )
+        LOG.info("Check %s passed", statement.name)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

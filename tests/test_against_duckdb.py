@@ -4,13 +4,15 @@ import pytest
 from comparison import duckdb_rows, duckdb_types, spark_rows, type_kinds
 
 import __spark_entry__ as entry_points
+from workload import catalog, oracles
 
-QUERIES = entry_points.queries()
-STATEMENTS = entry_points.oracle_sql()
+QUERIES = catalog.QUERIES
+STATEMENTS = oracles.all_statements()
 
 
 def test_every_query_has_a_statement():
     assert set(QUERIES) == set(STATEMENTS)
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -317,16 +317,25 @@ def test_a_check_may_bring_its_own_condition(plates):
 
 
 def test_statement_checks_stop_at_the_first_failure(spark, plates):
-    plates.createOrReplaceTempView("plates")
-    good = ("SELECT count(*) FROM plates", checks.one_positive_value)
-    percent = "SELECT 100.0D * count(plate_id) / count(*) FROM plates"
-    checks.enforce_statements(spark, [good, (percent, checks.one_value_at_least(75))])
-    with pytest.raises(checks.DataQualityError, match="100.0D"):
-        checks.enforce_statements(
-            spark, [good, (percent, checks.one_value_at_least(85)), ("SELECT x", bool)]
-        )
-    with pytest.raises(checks.DataQualityError, match="too many"):
-        checks.enforce_statements(spark, [("SELECT * FROM range(5000)", bool)])
+    filled = checks.Statement("filled", "SELECT count(*) AS n FROM {plates}", "n > 0")
+    share = "SELECT 100.0D * count(plate_id) / count(*) AS share FROM {plates}"
+    broken = checks.Statement("broken", "SELECT x", "x")
+    tables = {"plates": plates}
+    checks.enforce_in_order(spark, [filled, checks.Statement("share", share, "share >= 75")], tables)
+    with pytest.raises(checks.DataQualityError, match="strict"):
+        strict = checks.Statement("strict", share, "share >= 85")
+        checks.enforce_in_order(spark, [filled, strict, broken], tables)
+
+
+def test_statement_checks_count_any_number_of_records(spark):
+    many = "SELECT id FROM range(200000)"
+    report = lambda *args: checks.statement_report(spark, checks.Statement("ids", *args)).first()
+    assert report(many, "id >= 0", None)["passed"]
+    assert not report(many, "id >= 0")["passed"]
+    found = report(many, "id < 199998 OR id IS NULL", 200000)
+    assert (found["records"], found["unmet"], found["passed"]) == (200000, 2, False)
+    assert not report("SELECT id FROM range(0)", "id >= 0", None)["passed"]
+    assert not report("SELECT CAST(NULL AS INT) AS n", "n > 0")["passed"]
 
 
 def test_key_reports(spark):

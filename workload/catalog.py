@@ -725,6 +725,28 @@ def check_min_percentage(spark, sf_dir):
     return checks.run_checks(_citations(spark, sf_dir), [checks.min_percentage("vehicle_make", 95)])
 
 
+STATEMENTS = (
+    checks.Statement("has_citations", "SELECT count(*) AS n FROM {citations}", "n > 0"),
+    checks.Statement(
+        "makes_filled",
+        "SELECT 100.0D * count(vehicle_make) / count(*) AS share FROM {citations}",
+        "share >= 95",
+    ),
+    checks.Statement("every_state_coded", "SELECT state_code FROM {states}", "length(state_code) = 2", None),
+    checks.Statement("years_known", "SELECT vehicle_year FROM {citations}", "vehicle_year > 0", None),
+)
+
+
+@query
+def check_statements(spark, sf_dir):
+    """Statements of one and of many records, each judged where its records are made."""
+    tables = {
+        "citations": _citations(spark, sf_dir),
+        "states": fixtures.staging_table(spark, sf_dir, "stage_state"),
+    }
+    return checks.union_reports([checks.statement_report(spark, s, tables) for s in STATEMENTS])
+
+
 @query
 def check_primary_keys(spark, sf_dir):
     return checks.primary_key_report(star_tables(spark, sf_dir, _ALL_KEYS), S.PRIMARY_KEYS)

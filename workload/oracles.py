@@ -745,6 +745,29 @@ WHERE {c} IS NOT NULL AND ({parsed}) IS NULL"""
         ),
         *sv,
     )
+    judged = [
+        ("has_citations", "SELECT count(*) > 0 AS ok FROM stage_violation", "= 1"),
+        (
+            "makes_filled",
+            "SELECT count(vehicle_make) * 100.0 / count(*) >= 95 AS ok FROM stage_violation",
+            "= 1",
+        ),
+        ("every_state_coded", "SELECT length(state_code) = 2 AS ok FROM stage_state", "> 0"),
+        ("years_known", "SELECT vehicle_year > 0 AS ok FROM stage_violation", "> 0"),
+    ]
+    out["check_statements"] = statement(
+        _all(
+            [
+                f"SELECT '{name}' AS check_name, count(*) AS records, "
+                "count(*) FILTER (coalesce(ok, false) = false) AS unmet, "
+                f"count(*) {wanted} AND count(*) FILTER (coalesce(ok, false) = false) = 0 AS passed "
+                f"FROM ({body})"
+                for name, body, wanted in judged
+            ]
+        ),
+        *sv,
+        "stage_state",
+    )
     out["check_primary_keys"] = statement(
         _all([_primary_key(t, k) for t, k in PRIMARY_KEYS.items()]), *_STAR
     )
