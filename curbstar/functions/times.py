@@ -10,7 +10,7 @@ from curbstar.functions import values as V
 
 def has_time_format(raw: Column) -> Column:
     """True when the text is four digits of a valid clock time and A or P, in either case."""
-    return raw.rlike("(?i)" + V.RAW_TIME_PATTERN)
+    return raw.rlike("(?i)" + V.RAW_TIME_PATTERN + r"\z")
 
 
 def normalize_time(raw: Column) -> Column:

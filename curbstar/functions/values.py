@@ -31,6 +31,14 @@ EIGHT_DIGITS_PATTERN = r"^[0-9]{8}$"
 ISSUE_DATE_FORMAT = "MM/dd/yyyy"
 COMPACT_DATE_FORMAT = "yyyyMMdd"
 ISO_DATE_FORMAT = "yyyy-MM-dd"
+# Further layouts that a loader detects by itself. Of two readings the month comes first.
+FURTHER_DATE_FORMATS = (
+    "M/d/yyyy",
+    "MM/dd/yyyy hh:mm:ss a",
+    "MM-dd-yyyy",
+    "yyyy/MM/dd",
+    "dd-MMM-yyyy",
+)
 
 # Side of the street.
 FRONT_OR_OPPOSITE = {"I": "InFront", "F": "InFront", "O": "Opposite"}

@@ -71,19 +71,28 @@ class ReadyLookup:
 def prepare_lookups(
     lookups: Iterable[Lookup], broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES
 ) -> dict[str, ReadyLookup]:
-    """Measure all lookups in one job; raise when a code occurs twice."""
+    """Measure all lookups in one job; raise when a code occurs twice.
+
+    The smallest are broadcast, as far as all of them together stay within the limit.
+    """
     lookups = list(lookups)
     measured = {row["name"]: row for row in lookup_sizes(lookups).collect()}
     doubled = [name for name, row in measured.items() if row["rows"] > row["codes"]]
     if doubled:
         raise DuplicateLookupKeys(f"Codes occur more than once in: {', '.join(doubled)}")
-    ready = {}
-    for lookup in lookups:
-        rows, size = 0, 0
-        if lookup.name in measured:
-            rows, size = measured[lookup.name]["rows"], measured[lookup.name]["bytes"]
-        ready[lookup.name] = ReadyLookup(lookup, rows, size, size <= broadcast_limit_bytes)
-    return ready
+    none = {"rows": 0, "bytes": 0}
+    sizes = {lookup.name: measured.get(lookup.name, none) for lookup in lookups}
+    sent, total = set(), 0
+    for name in sorted(sizes, key=lambda name: sizes[name]["bytes"]):
+        total += sizes[name]["bytes"]
+        if total <= broadcast_limit_bytes:
+            sent.add(name)
+    return {
+        lookup.name: ReadyLookup(
+            lookup, sizes[lookup.name]["rows"], sizes[lookup.name]["bytes"], lookup.name in sent
+        )
+        for lookup in lookups
+    }
 
 
 def lookup_sizes(lookups: Iterable[Lookup]) -> DataFrame:

@@ -43,10 +43,17 @@ class Delimited:
     sep: str = ","
     any_date: bool = False
     mode: str = "FAILFAST"
+    multiline: bool = False
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return read_delimited(
-            spark, self.path, STAGING[table], self.sep, self.any_date, mode=self.mode
+            spark,
+            self.path,
+            STAGING[table],
+            self.sep,
+            self.any_date,
+            mode=self.mode,
+            multiline=self.multiline,
         )
 
 
@@ -136,14 +143,20 @@ def load_star(
     return LoadedStar(run_id, tables)
 
 
-def open_star(spark: SparkSession, root: str) -> LoadedStar:
-    """The tables of the last complete run under ``root``."""
+def open_star(spark: SparkSession, root: str, where: Column | None = None) -> LoadedStar:
+    """The tables of the last complete run under ``root``.
+
+    ``where`` filters the facts; by a directory column, such as ``issue_year``, it leaves the
+    other folders unopened.
+    """
     run_id = latest_run(spark, root)
     names = ["stage2_violation", "violation_code", "date", "time", "location", "vehicle"]
     tables = {
         name: read_table(spark, run_table_path(root, run_id, name), TABLES[name])
-        for name in [*names, "violation"]
+        for name in names
     }
+    facts = run_table_path(root, run_id, "violation")
+    tables["violation"] = read_table(spark, facts, TABLES["violation"], where=where)
     return LoadedStar(run_id, tables)
 
 

@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping, Sequence
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
@@ -21,14 +21,20 @@ def read_delimited(
     any_date: bool = False,
     date_formats: Sequence[str] = ANY_DATE_FORMATS,
     mode: str = "FAILFAST",
+    multiline: bool = False,
 ) -> DataFrame:
     """Delimited text with one header line; fields bind to ``schema`` by position.
 
+    A field in double quotes may hold the separator, and quotes written twice; a backslash is a
+    plain character. ``multiline=True`` also allows line breaks inside quotes, and then a file
+    is read by one task. A bad number in a column that is not selected may go unseen, since only
+    selected columns are converted.
+
     ``any_date=True`` reads dates in any of ``date_formats`` and turns any other text into
     null. No other conversion is tolerant unless ``mode`` says so. An empty field is null.
     The files stay splittable, so one large file is read by many tasks.
     """
-    reader = spark.read.option("header", True).option("sep", sep).option("mode", mode)
+    reader = _delimited(spark, sep, multiline).option("mode", mode)
     if not any_date:
         return reader.schema(schema).csv(path)
     as_text = StructType(
@@ -49,16 +55,25 @@ def read_delimited(
 
 
 def read_columns(
-    spark: SparkSession, path: str | list[str], columns: Mapping[str, str], sep: str = ","
+    spark: SparkSession,
+    path: str | list[str],
+    columns: Mapping[str, str],
+    sep: str = ",",
+    multiline: bool = False,
 ) -> DataFrame:
     """Chosen columns of a delimited file, by header name, as text under new names.
 
     Only the chosen fields are converted; nothing is inferred, so the data is read once.
     """
-    raw = spark.read.option("header", True).option("sep", sep).csv(path)
+    raw = _delimited(spark, sep, multiline).csv(path)
     return raw.select(*[_field(name).alias(alias) for name, alias in columns.items()])
 
 
+def _delimited(spark: SparkSession, sep: str, multiline: bool) -> DataFrameReader:
+    quoting = {"header": True, "sep": sep, "quote": '"', "escape": '"', "multiLine": multiline}
+    return spark.read.options(**quoting)
+
+
 def read_json_paths(
     spark: SparkSession,
     path: str | list[str],

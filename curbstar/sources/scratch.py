@@ -7,19 +7,25 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_MARK = "/curbstar/"
+
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh path under ``spark.checkpoint.dir``.
+    """A fresh path under ``spark.checkpoint.dir``, else under the context's checkpoint folder.
 
-    Without that setting a local session gets a temporary folder; a cluster gets an error,
-    since its executors share no local folder.
+    Without either a local session gets a temporary folder; a cluster gets an error, since its
+    executors share no local folder. On a cluster a path without a scheme must not lie on the
+    local file system; a mount that all machines share is named with ``file://``.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _context_folder(spark)
+    local = spark.conf.get("spark.master", "").startswith("local")
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not local:
             raise ValueError("Set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="curbstar-")
-    return f"{base.rstrip('/')}/curbstar/{purpose}-{uuid.uuid4().hex}"
+    elif not local and "://" not in base and not base.startswith("file:") and _scheme(spark, base) == "file":
+        raise ValueError(f"{base} is a folder of one machine; name a shared mount as file://{base}")
+    return f"{base.rstrip('/')}{_MARK}{purpose}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -31,3 +37,28 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete scratch tables that nothing reads any more; only folders of :func:`stored` go."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            if _MARK in folder:
+                path = _path(spark, folder)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _context_folder(spark: SparkSession) -> str | None:
+    context = getattr(spark, "sparkContext", None)
+    folder = context and context._jsc.sc().getCheckpointDir()
+    return folder.get() if folder and folder.isDefined() else None
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _scheme(spark: SparkSession, path: str) -> str:
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    return _path(spark, path).getFileSystem(hadoop).getUri().getScheme()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,12 +23,19 @@ def replace_table(
 ) -> DataFrame:
     """Replace the table at ``path`` with ``df`` and return the stored table.
 
-    ``path`` must not be one that ``df`` reads. ``columns`` loads only these columns and
-    leaves the others null. ``partition_by`` names the directory columns and their
-    expressions; rows are then rebalanced by them, and adaptive execution splits a
-    directory value that holds much of the table over many tasks.
+    The rows are written beside the table first and take its place when they are complete, so
+    a load that fails leaves the earlier rows readable. ``columns`` loads only these columns and
+    leaves the others null. ``partition_by`` names the directory columns and their expressions;
+    each task writes its own rows by directory, without a shuffle.
     """
-    return _load(df, path, schema, "overwrite", columns, partition_by)
+    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    try:
+        _load(df, beside, schema, "errorifexists", columns, partition_by)
+        _take_place(df.sparkSession, beside, path)
+    except BaseException:
+        _delete(df.sparkSession, beside)
+        raise
+    return read_table(df.sparkSession, path, schema, tuple(partition_by or ()))
 
 
 def append_table(
@@ -38,12 +46,28 @@ def append_table(
     partition_by: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add the rows of ``df`` to the table at ``path``; arguments as in replace_table."""
-    return _load(df, path, schema, "append", columns, partition_by)
+    _load(df, path, schema, "append", columns, partition_by)
+    return read_table(df.sparkSession, path, schema, tuple(partition_by or ()))
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The declared columns of a stored table, by name; directory columns are left out."""
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    directories: Sequence[str] = (),
+    where: Column | None = None,
+) -> DataFrame:
+    """The declared columns of a stored table, by name.
+
+    ``where`` may use the directory columns named in ``directories``, and then other folders are
+    not opened; the columns themselves are left out.
+    """
     stored = spark.read.parquet(path)
+    missing = [name for name in directories if name not in stored.columns]
+    if missing:
+        raise ValueError(f"{path} has no directory columns {missing}")
+    if where is not None:
+        stored = stored.filter(where)
     return conform(stored.select(*[c for c in stored.columns if c in schema.names]), schema)
 
 
@@ -59,11 +83,35 @@ def record_run(spark: SparkSession, root: str, run_id: str) -> None:
     row.coalesce(1).write.mode("append").parquet(run_log_path(root))
 
 
-def latest_run(spark: SparkSession, root: str) -> str | None:
+def latest_run(spark: SparkSession, root: str) -> str:
     """Id of the last complete run under ``root``."""
+    log, files = _files(spark, run_log_path(root))
+    if not files.exists(log):
+        raise ValueError(f"No run under {root} is complete")
+    return _finished_runs(spark, root)[0]
+
+
+def expire_runs(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
+    """Delete the tables of all complete runs but the last ``keep``; the ids of those that went.
+
+    At least the current run stays. Folders of runs that are not in the log are left alone, since
+    they may still be loading.
+    """
+    if keep < 1:
+        raise ValueError("The current run can't be expired")
+    gone = []
+    for run_id in _finished_runs(spark, root)[keep:]:
+        folder, files = _files(spark, f"{root.rstrip('/')}/runs/{run_id}")
+        if files.exists(folder):
+            files.delete(folder, True)
+            gone.append(run_id)
+    return gone
+
+
+def _finished_runs(spark: SparkSession, root: str) -> list[str]:
+    """Ids in the run log, a row per load, the newest first."""
     log = spark.read.schema(RUN_LOG_SCHEMA).parquet(run_log_path(root))
-    newest = F.max_by("run_id", F.struct("finished_at", "run_id"))
-    return log.agg(newest.alias("run_id")).first()["run_id"]
+    return [row["run_id"] for row in log.orderBy(F.desc("finished_at"), F.desc("run_id")).collect()]
 
 
 def run_log_path(root: str) -> str:
@@ -81,7 +129,7 @@ def _load(
     mode: str,
     columns: Sequence[str] | None,
     partition_by: Mapping[str, Column] | None,
-) -> DataFrame:
+) -> None:
     if columns is not None:
         df = df.select(
             *[
@@ -92,9 +140,32 @@ def _load(
     rows = conform(df, schema)
     if partition_by:
         rows = rows.withColumns(dict(partition_by))
-        rows = rows.hint("rebalance", *[F.col(name) for name in partition_by])
     writer = rows.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return read_table(df.sparkSession, path, schema)
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's path and its file system, whatever the store."""
+    hadoop = spark.sparkContext
+    own = hadoop._jvm.org.apache.hadoop.fs.Path(path)
+    return own, own.getFileSystem(hadoop._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    own, files = _files(spark, path)
+    files.delete(own, True)
+
+
+def _take_place(spark: SparkSession, beside: str, path: str) -> None:
+    """Move a complete table to ``path``; the one that was there goes last."""
+    old = f"{path.rstrip('/')}.old-{uuid.uuid4().hex}"
+    target, files = _files(spark, path)
+    former, source = _files(spark, old)[0], _files(spark, beside)[0]
+    if files.exists(target) and not files.rename(target, former):
+        raise OSError(f"{path} can't be moved")
+    if not files.rename(source, target):
+        files.rename(former, target)
+        raise OSError(f"{beside} can't be moved to {path}")
+    files.delete(former, True)

@@ -104,6 +104,14 @@ def test_any_date(column):
     assert got == [day, day, day, None, None, None, None, None]
 
 
+def test_further_date_layouts(column):
+    raw = ["1/8/2019", "06/14/2019 12:00:00 AM", "06-14-2019", "2019/06/14", "14-Jun-2019"]
+    raw += ["14-JUN-2019x", "06/14/2019 12:00", "13/13/2019", "2019/6/14"]
+    june = dt.date(2019, 6, 14)
+    got = column(raw, "d string", dates.parse_any_date(F.col("d")))
+    assert got == [dt.date(2019, 1, 8), june, june, june, june, None, None, None, None]
+
+
 def test_model_year_depends_on_the_given_year_only(column):
     years = [1883, 1884, 2022, 2023, 0, None]
     got = column(years, "y int", codes.valid_model_year(F.col("y"), 2020))

@@ -297,6 +297,11 @@ def test_load_from_raw_files(spark, sf_dir, tables, loaded, tmp_path):
     assert opened.run_id == first.run_id
     assert opened.tables["violation"].count() == first.tables["violation"].count()
 
+    year = opened.tables["violation"].select(F.max(F.year("issue_date"))).first()[0]
+    one_year = load.open_star(spark, root, F.col("issue_year") == year).tables["violation"]
+    assert 0 < one_year.count() < first.tables["violation"].count()
+    assert "PartitionFilters: [isnotnull(issue_year" in one_year._jdf.queryExecution().executedPlan().toString()
+
     class NoIssueDates:
         def read(self, session, table):
             found = files[table].read(session, table)

@@ -1,6 +1,8 @@
 """Readers, writers, declared tables and scratch folders."""
 
 import datetime as dt
+import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,3 +181,78 @@ def test_scratch_never_uses_a_local_folder_on_a_cluster():
         scratch.scratch_path(_Session(master="yarn"), "x")
     shared = scratch.scratch_path(_Session(master="yarn", checkpoint_dir="hdfs://shared/tmp"), "x")
     assert shared.startswith("hdfs://shared/tmp/curbstar/x-")
+
+
+def test_a_failing_replace_keeps_the_earlier_rows(spark, tmp_path):
+    path = str(tmp_path / "dates")
+    good = spark.createDataFrame([(dt.date(2019, 6, 14), 14, 6, 2019)], schemas.DATE)
+    writers.replace_table(good, path, schemas.DATE)
+    bad = good.withColumn("date", F.expr("CASE WHEN year = 2019 THEN raise_error('broken') END").cast("date"))
+    with pytest.raises(Exception, match="broken"):
+        writers.replace_table(bad, path, schemas.DATE)
+    assert writers.read_table(spark, path, schemas.DATE).count() == 1
+    again = writers.replace_table(writers.read_table(spark, path, schemas.DATE), path, schemas.DATE)
+    assert again.count() == 1, "a table may be replaced from itself"
+    assert [p.name for p in tmp_path.iterdir()] == ["dates"]
+
+
+def test_expired_runs_go_and_the_current_one_stays(spark, tmp_path):
+    root = str(tmp_path)
+    assert not (tmp_path / "run_log").exists()
+    with pytest.raises(ValueError, match="complete"):
+        writers.latest_run(spark, root)
+    for run in ("one", "two", "three", "loading"):
+        spark.range(1).write.parquet(writers.run_table_path(root, run, "date"))
+        if run != "loading":
+            writers.record_run(spark, root, run)
+    assert writers.expire_runs(spark, root, keep=2) == ["one"]
+    assert writers.expire_runs(spark, root) == ["two"]
+    assert writers.expire_runs(spark, root) == []
+    assert sorted(p.name for p in (tmp_path / "runs").iterdir()) == ["loading", "three"]
+    with pytest.raises(ValueError, match="current"):
+        writers.expire_runs(spark, root, keep=0)
+
+
+def test_a_directory_column_prunes_folders(spark, tmp_path):
+    rows = spark.createDataFrame([(dt.date(y, 1, 1), 1, 1, y) for y in (2019, 2020)], schemas.DATE)
+    path = str(tmp_path / "date")
+    writers.replace_table(rows, path, schemas.DATE, partition_by={"of_year": F.year("date")})
+    one = writers.read_table(spark, path, schemas.DATE, ["of_year"], F.col("of_year") == 2020)
+    assert [r["year"] for r in one.collect()] == [2020]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*of_year", plan), plan
+    with pytest.raises(ValueError, match="directory"):
+        writers.read_table(spark, path, schemas.DATE, ["other"])
+
+
+def test_quotes_separators_and_line_breaks(spark, tmp_path):
+    text = 'c,d,m,o\n7,"say ""stop"", now",1,2\n8,"a\\",3,4\n9," x; ""y"" ",5,6\n'
+    plain = tmp_path / "plain.csv"
+    plain.write_text(text)
+    got = readers.read_delimited(spark, str(plain), schemas.STAGE_VIOLATION_CODE).collect()
+    assert [r[1] for r in got] == ['say "stop", now', "a\\", ' x; "y" ']
+    assert [r[2] for r in got] == [1, 3, 5]
+    broken = tmp_path / "broken.csv"
+    broken.write_text('c,d,m,o\n7,"two\nlines",1,2\n')
+    got = readers.read_delimited(spark, str(broken), schemas.STAGE_VIOLATION_CODE, multiline=True)
+    assert [r[1] for r in got.collect()] == ["two\nlines"]
+    chosen = readers.read_columns(spark, str(plain), {"d": "text"})
+    assert [r["text"] for r in chosen.collect()][0] == 'say "stop", now'
+
+
+def test_a_cluster_is_refused_a_folder_of_one_machine(spark):
+    cluster = _Session(master="yarn", checkpoint_dir="/tmp/x")
+    cluster.sparkContext = spark.sparkContext
+    with pytest.raises(ValueError, match="one machine"):
+        scratch.scratch_path(cluster, "x")
+    cluster.conf.values["spark.checkpoint.dir"] = "file:///mnt/shared"
+    assert scratch.scratch_path(cluster, "x").startswith("file:///mnt/shared/")
+
+
+def test_discard_deletes_scratch_tables_alone(spark, tmp_path):
+    table = scratch.stored(spark.range(3), "gone")
+    own = str(tmp_path / "own")
+    spark.range(3).write.parquet(own)
+    folder = table.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    scratch.discard(table, spark.read.parquet(own))
+    assert not os.path.exists(folder) and os.path.exists(own)

@@ -415,9 +415,10 @@ def map_dictionary(spark, sf_dir):
     return _from_stage(spark, sf_dir, side=side)
 
 
-def _unmatched(spark, sf_dir) -> DataFrame:
+def _unmatched(spark, sf_dir, fold_case: bool = False) -> DataFrame:
     lookups = {
-        column: (_lookup(spark, sf_dir, column), entry[2]) for column, entry in CODE_TABLES.items()
+        column: (_lookup(spark, sf_dir, column, fold_case), entry[2])
+        for column, entry in CODE_TABLES.items()
     }
     return unmatched(_citations(spark, sf_dir), lookups)
 
@@ -427,6 +428,12 @@ def unmatched_codes(spark, sf_dir):
     return _unmatched(spark, sf_dir)
 
 
+@query
+def unmatched_codes_folded(spark, sf_dir):
+    """Codes that no lookup holds in any spelling."""
+    return _unmatched(spark, sf_dir, fold_case=True)
+
+
 @query
 def unmatched_counts(spark, sf_dir):
     return unmatched_totals(_unmatched(spark, sf_dir))
@@ -688,6 +695,15 @@ def bad_date_counts(spark, sf_dir):
     return profile.parsed_totals(fixtures.raw_dates(spark, sf_dir), _date_parses())
 
 
+@query
+def lost_dates(spark, sf_dir):
+    """Texts per date column that a load with detected dates turns into null."""
+    texts = {"issue_date": "mixed_date_text", "vehicle_expiration_date": "expiration_date_text"}
+    lost = dates.lost_dates({name: F.col(text) for name, text in texts.items()})
+    rows = fixtures.raw_dates(spark, sf_dir)
+    return profile.measure(rows, "column_name", {c: {"lost": n} for c, n in lost.items()})
+
+
 @query
 def bad_times(spark, sf_dir):
     stand_ins = {
@@ -786,6 +802,12 @@ def top_vehicle_types(spark, sf_dir):
     return questions.top_vehicle_types(tables["violation"], tables["vehicle"])
 
 
+@query
+def all_places_ranked(spark, sf_dir):
+    tables = star_tables(spark, sf_dir, star.PLACE_COLUMNS)
+    return questions.top_places(tables["violation"], tables["location"])
+
+
 @query
 def top_places(spark, sf_dir):
     tables = star_tables(spark, sf_dir, star.PLACE_COLUMNS)

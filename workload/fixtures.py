@@ -40,7 +40,7 @@ SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-'
   'r' || CAST(k%7 AS STRING) AS violation_county,
   substr('IFOifoX',CAST(k%7+1 AS INT),1) AS violation_in_front_of_or_opposite,
   CASE WHEN k%3=0 THEN NULL ELSE CAST(CAST(l_quantity AS INT)%4 AS STRING) END AS house_number,
-  CASE WHEN k%17=0 THEN NULL WHEN k%2=0 THEN 'Street ' || CAST(l_partkey%4 AS STRING) ELSE 'STREET ' || CAST(l_partkey%4 AS STRING) END AS street_name,
+  CASE WHEN k%17=0 THEN NULL WHEN k%23=0 THEN ' ' || chr(34) || 'A;B,C' || chr(34) || chr(92) WHEN k%2=0 THEN 'Street ' || CAST(l_partkey%4 AS STRING) ELSE 'STREET ' || CAST(l_partkey%4 AS STRING) END AS street_name,
   CASE WHEN k%2=0 THEN NULL ELSE 'Cross ' || CAST(l_suppkey%3 AS STRING) END AS intersecting_street,
   CASE WHEN k%5=0 THEN substr(dfo,1,2) || ',' || substr(dfo,3,2) || substr(dfo,6,1) || ',' || substr(dfo,7,1) || substr(dfo,9,2)
        ELSE '0' END AS date_first_observed,
@@ -63,7 +63,8 @@ SELECT DISTINCT substr(o_orderpriority,1,1) AS code, substr(o_orderpriority,3) A
 """
 
 SQL["stage_violation_code"] = """
-SELECT p_size AS code, min(p_type) AS description, min(p_retailprice) AS manhattan_amount, max(p_retailprice) AS others_amount
+SELECT p_size AS code,
+  min(p_type) || CASE p_size%4 WHEN 0 THEN ', say ' || chr(34) || 'stop' || chr(34) || ', now' WHEN 1 THEN '; ' || chr(92) ELSE '' END AS description, min(p_retailprice) AS manhattan_amount, max(p_retailprice) AS others_amount
 FROM {part} WHERE p_size<=45 GROUP BY p_size
 """
 
@@ -90,6 +91,19 @@ RAW_DATES = """
 SELECT *,
   substr(CAST(issue_date AS STRING),6,2) || '/' || substr(CAST(issue_date AS STRING),9,2)
     || '/' || substr(CAST(issue_date AS STRING),1,4) AS issue_date_text,
+  CASE street_code1
+    WHEN 0 THEN CAST(CAST(substr(CAST(issue_date AS STRING),6,2) AS INT) AS STRING) || '/'
+      || CAST(CAST(substr(CAST(issue_date AS STRING),9,2) AS INT) AS STRING) || '/' || substr(CAST(issue_date AS STRING),1,4)
+    WHEN 1 THEN substr(CAST(issue_date AS STRING),6,2) || '-' || substr(CAST(issue_date AS STRING),9,2)
+      || '-' || substr(CAST(issue_date AS STRING),1,4)
+    WHEN 2 THEN substr(CAST(issue_date AS STRING),1,4) || '/' || substr(CAST(issue_date AS STRING),6,2)
+      || '/' || substr(CAST(issue_date AS STRING),9,2)
+    WHEN 3 THEN substr(CAST(issue_date AS STRING),9,2) || '-'
+      || substr('JanFebMarAprMayJunJulAugSepOctNovDec',CAST(3*CAST(substr(CAST(issue_date AS STRING),6,2) AS INT)-2 AS INT),3)
+      || '-' || substr(CAST(issue_date AS STRING),1,4)
+    ELSE substr(CAST(issue_date AS STRING),6,2) || '/' || substr(CAST(issue_date AS STRING),9,2)
+      || '/' || substr(CAST(issue_date AS STRING),1,4) || CASE street_code1 WHEN 4 THEN ' 12:00:00 AM' ELSE '' END
+  END AS mixed_date_text,
   CASE WHEN vehicle_expiration_date IS NOT NULL
          THEN substr(CAST(vehicle_expiration_date AS STRING),1,4)
            || substr(CAST(vehicle_expiration_date AS STRING),6,2)
@@ -122,7 +136,7 @@ def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def raw_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Citations with the text columns ``issue_date_text`` and ``expiration_date_text``."""
+    """Citations with dates as text: issue dates in one layout and in several, expiration dates."""
     return spark.sql(RAW_DATES, stage_violation=staging_table(spark, sf_dir, "stage_violation"))
 
 
@@ -130,7 +144,7 @@ def raw_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 43 columns in file order with dates as text; columns not derived are null."""
     rows = raw_dates(spark, sf_dir)
     texts = {
-        "issue_date": F.col("issue_date_text"),
+        "issue_date": F.col("mixed_date_text"),
         "vehicle_expiration_date": F.col("expiration_date_text"),
     }
 

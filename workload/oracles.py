@@ -291,9 +291,10 @@ TOP_PLACES = 20
 HEAD_PRECINCTS = 80
 
 
-def _unmatched_rows() -> str:
+def _unmatched_rows(folded: bool = False) -> str:
     def one(column: str) -> str:
         table, key, _, fold = CODE_TABLES[column]
+        fold = fold and folded
         match = f"upper(k.{key}) = upper(v.{column})" if fold else f"k.{key} = v.{column}"
         return f"""SELECT '{column}' AS column_name, CAST({column} AS VARCHAR) AS code
 FROM stage_violation v WHERE NOT EXISTS (SELECT 1 FROM {table} k WHERE {match})"""
@@ -562,6 +563,11 @@ WHERE upper(v.plate_type) = upper(p.code)""",
         *sv,
         *lookup_tables,
     )
+    out["unmatched_codes_folded"] = statement(
+        f"SELECT column_name, code, count(*) AS n FROM ({_unmatched_rows(True)}) GROUP BY ALL",
+        *sv,
+        *lookup_tables,
+    )
     out["unmatched_counts"] = statement(
         f"""SELECT column_name, count(DISTINCT code) + max(CASE WHEN code IS NULL THEN 1 ELSE 0 END) AS unmatched_codes,
   count(*) AS unmatched_rows FROM ({_unmatched_rows()}) GROUP BY column_name""",
@@ -724,6 +730,11 @@ WHERE {c} IS NOT NULL AND ({parsed}) IS NULL"""
         ),
         "raw_dates",
     )
+    out["lost_dates"] = statement(
+        """SELECT 'issue_date' AS column_name, count(*) FILTER (mixed_date_text IS NOT NULL AND issue_date IS NULL) AS lost FROM raw_dates
+UNION ALL SELECT 'vehicle_expiration_date', count(*) FILTER (vehicle_expiration_date IS NULL) FROM raw_dates""",
+        "raw_dates",
+    )
     out["bad_times"] = statement(
         _all(
             [
@@ -798,6 +809,16 @@ WHERE {c} IS NOT NULL AND ({parsed}) IS NULL"""
     out["top_vehicle_types"] = statement(
         _rank("vehicle", "vehicle", "id", {"body_type": "d.body_type"}), "violation", "vehicle"
     )
+    out["all_places_ranked"] = statement(
+        _rank(
+            "location",
+            "location",
+            "id",
+            {"county": "d.county", "precinct": "d.precinct", "street_name": "upper(d.street_name)"},
+        ),
+        "violation",
+        "location",
+    )
     out["top_places"] = statement(
         _rank(
             "location",

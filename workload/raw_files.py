@@ -14,7 +14,8 @@ from workload import fixtures
 
 def write_delimited(df: DataFrame, sep: str, purpose: str) -> str:
     path = scratch_path(df.sparkSession, purpose)
-    df.write.option("header", True).option("sep", sep).csv(path)
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.options(header=True, sep=sep, quote='"', escape='"', **kept).csv(path)
     return path
 
 
