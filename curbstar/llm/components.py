@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbstar.sources.scratch import stored
+from curbstar.sources.scratch import discard, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -32,8 +32,11 @@ def components(edges: DataFrame) -> DataFrame:
         after = stored(small.unionByName(low.select("a", F.col("low").alias("b"))).distinct(), "edges")
         counts = current.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         new = after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
+        discard(least, large, low)
         if counts == new:
+            discard(after)
             break
+        discard(current)
         current = after
     roots = current.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return roots.unionByName(current.select(F.col("a").alias("node"), F.col("b").alias("component")))

@@ -1,17 +1,20 @@
 """Near-duplicate lines by an exact set-similarity join; later matches go.
 
-A line is its set of words. Lines with the same text are one class, at its first occurrence. The
-words of a line are ordered by rarity: by frequency class, the rarest first, and by hash within a
-class. Two sets with Jaccard 0.8 or more share a word within the first ``n - ceil(0.8 n) + 1``
-words of each, so only those prefixes are joined, under bounds on length and position. A line
-that matches an earlier line is removed, also where that one is removed itself.
-
-Large groups of near copies: of each shared prefix word the first line is tried first, and a line
+A line is its set of 5-word shingles, words in lower case. Lines with the same text are one class,
+at its first occurrence. Tokens have a global order by rarity: tokens that many lines hold come
+last, and within either class the hash decides. Two sets with Jaccard 0.8 or more share a token
+within the first ``n - ceil(0.8 n) + 1`` of each, so only those prefixes are joined, under bounds
+on length and position. A line that matches an earlier line is removed, also where that one is
+removed itself.
+
+Nearly all tokens are held by one line. So the prefixes are first taken by hash alone and counted.
+Only lines with a token of high count in that prefix have another prefix under the full order, and
+only theirs are made anew. The list of frequent tokens has a fixed greatest length; a token beyond
+it counts as rare, which changes the order, never the result.
+
+Large groups of near copies: of each shared prefix token the first line is tried first, and a line
 it removes needs no more comparisons. Only the lines left are compared with all earlier ones.
 
-The counts of words are taken over all lines. What the driver gets and sends on is the list of the
-most frequent words, of fixed length; it decides the order, never the result.
-
 A line is known by (doc_id, line number), and earlier means smaller. All expressions are built-in
 functions.
 """
@@ -22,13 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbstar.llm.common import let
-from curbstar.sources.scratch import stored
+from curbstar.sources.scratch import discard, stored
 
 PERCENT = 80
-#: Lines of fewer words are never compared; they stay.
-LEAST_WORDS = 5
-#: Frequency classes: the ranks at which they end. Words beyond the last are the rare class.
-FREQUENT = (64, 512, 4096)
+SHINGLE = 5
+#: Prefix tokens of so many lines are frequent; the most frequent so many make the list.
+FREQUENT_FROM = 32
+FREQUENT_MOST = 4096
 #: Up to this many documents, those with lines to compare are sent to all executors.
 BROADCAST_IDS = 2_000_000
 _HASH_BITS = 60
@@ -36,42 +39,30 @@ _LAST = (1 << 63) - 1
 
 
 def _lines(documents: DataFrame) -> DataFrame:
-    """doc, line, words_text for lines of some length; null and empty texts give one empty line."""
+    """doc, line, content; a null text gives one empty line."""
     split = F.split(F.coalesce("text", F.lit("")), "\n")
     return documents.select("doc", F.posexplode(split).alias("line", "content"))
 
 
-def _words(content: Column) -> Column:
-    return F.filter(F.split(F.lower(content), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-
-
-def _word_hash(word: Column) -> Column:
-    return F.xxhash64(word).bitwiseAND((1 << _HASH_BITS) - 1)
-
-
-def frequent_words(documents: DataFrame) -> list[int]:
-    """Hashes of the most frequent words, ``FREQUENT[-1]`` at most, most frequent first."""
-    words = documents.select(F.explode(F.split(F.lower("text"), "[\\x20\\x09-\\x0D]+")).alias("w"))
-    counts = words.groupBy(_word_hash(F.col("w")).alias("h")).agg(F.count("*").alias("n")).filter("n > 1")
-    return [r["h"] for r in counts.orderBy(F.desc("n"), "h").limit(FREQUENT[-1]).collect()]
+def ordered_tokens(content: Column, frequent: list[int] | None = None) -> Column:
+    """Distinct shingles of a line as longs that sort by rarity, null for lines of too few words."""
+    # One literal space splits several times faster than an expression; other white space is rare.
+    spaced = F.when(content.rlike("[\\x09-\\x0D]"), F.translate(content, "\t\x0b\x0c\r", "    ")).otherwise(content)
+    words = F.filter(F.split(F.lower(spaced), " "), lambda w: w != "")
 
+    def tokens(w: Column) -> Column:
+        hash_at = lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)]).bitwiseAND((1 << _HASH_BITS) - 1)
+        hashes = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - SHINGLE), hash_at))
+        if frequent:
+            hashes = F.transform(hashes, lambda h: F.when(h.isin(frequent), h.bitwiseOR(1 << _HASH_BITS)).otherwise(h))
+        return F.when(F.size(w) >= SHINGLE, F.sort_array(hashes))
 
-def ordered_tokens(content: Column, frequent: list[int]) -> Column:
-    """Distinct words of a line as longs that sort by rarity: frequency class above, hash below."""
-    bounds = [0, *FREQUENT]
-    classes = [frequent[a:b] for a, b in zip(bounds, FREQUENT, strict=False)]
+    return let(words, tokens)
 
-    def token(word: Column) -> Column:
-        def classed(h: Column) -> Column:
-            rank = F.lit(0).cast("long")
-            for i, own in reversed(list(enumerate(classes))):
-                if own:
-                    rank = F.when(h.isin(own), F.lit((len(FREQUENT) - i) << _HASH_BITS)).otherwise(rank)
-            return h.bitwiseOR(rank)
 
-        return classed(_word_hash(word))
-
-    return F.sort_array(F.array_distinct(F.transform(_words(content), token)))
+def _prefix(tokens: Column, percent: int) -> Column:
+    n = F.size(tokens)
+    return F.slice(tokens, 1, n - F.floor((n * percent + 99) / 100).cast("int") + 1)
 
 
 def _similar(n_x: Column, n_y: Column, both: Column, percent: int) -> Column:
@@ -79,36 +70,37 @@ def _similar(n_x: Column, n_y: Column, both: Column, percent: int) -> Column:
 
 
 def matched_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(doc, line) of every line to remove: it has the text, or nearly the words, of an earlier line.
+    """(doc, line) of every line to remove: it has the text, or nearly the shingles, of an earlier line.
 
-    Lines of fewer than ``LEAST_WORDS`` distinct words, so all lines of null and empty texts, are
-    never removed. Rows without an id come after all others. Rows that repeat an id and text are
-    one document: their lines do not match each other.
+    Lines of fewer than ``SHINGLE`` words, so all lines of null and empty texts, are never removed.
+    Rows without an id come after all others. Rows that repeat an id and text are one document:
+    their lines do not match each other.
     """
     docs = documents.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("doc"), F.col(text).alias("text"))
-    frequent = frequent_words(docs)
-    lines = _lines(docs).filter(F.regexp_count("content", F.lit("[^\\x20\\x09-\\x0D]+")) >= LEAST_WORDS)
-    length = lambda t: F.size(t) - F.ceil(F.size(t) * percent / 100.0) + 1
-    firsts = stored(
-        lines.select(
-            "doc", "line", F.xxhash64("content").alias("g1"), F.xxhash64(F.lit(1), "content").alias("g2"),
-            let(
-                ordered_tokens(F.col("content"), frequent),
-                lambda t: F.struct(F.size(t).alias("n"), F.slice(t, 1, length(t).cast("int")).alias("prefix")),
-            ).alias("t"),
-        ).select("doc", "line", "g1", "g2", "t.n", "t.prefix").filter(F.col("n") >= LEAST_WORDS),
+    hashed = let(ordered_tokens(F.col("content")), lambda t: F.struct(F.size(t).alias("n"), _prefix(t, percent).alias("prefix")))
+    lines = stored(
+        _lines(docs)
+        .select("doc", "line", F.xxhash64("content").alias("g1"), F.xxhash64(F.lit(1), "content").alias("g2"), hashed.alias("t"))
+        .select("doc", "line", "g1", "g2", "t.n", "t.prefix").filter("n > 0"),
         "lines",
     )
-    at = F.struct("doc", "line").alias("at")
-    classes = firsts.groupBy("g1", "g2").agg(F.min(at).alias("first"), F.count("*").alias("copies"))
-    repeated = stored(classes.filter("copies > 1"), "line-copies").select("g1", "g2", "first")
-    copied = firsts.select("doc", "line", "g1", "g2").join(repeated, ["g1", "g2"])
+    classes = lines.groupBy("g1", "g2").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("copies"))
+    repeated = stored(classes.filter("copies > 1").select("g1", "g2", "first"), "line-copies")
+    copied = lines.select("doc", "line", "g1", "g2").join(repeated, ["g1", "g2"])
     copied = stored(copied.filter((F.col("doc") != F.col("first.doc")) | (F.col("line") != F.col("first.line"))).select("doc", "line").distinct(), "line-repeats")
 
-    prefixes = firsts.select("doc", "line", "n", "prefix").join(copied, ["doc", "line"], "left_anti")
-    postings = prefixes.select("doc", "line", "n", F.posexplode("prefix").alias("pos", "token"))
-    common = stored(postings.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1").select("token"), "line-words")
-    shared = stored(postings.join(common, "token").select("token", "doc", "line", "n", (F.col("n") - F.col("pos")).alias("rest")), "line-postings")
+    postings = lines.select("doc", "line", "n", F.posexplode("prefix").alias("pos", "token"))
+    common = stored(postings.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1"), "line-tokens")
+    shared = postings.join(common, "token").join(copied, ["doc", "line"], "left_anti")
+    shared = stored(shared.select("token", "doc", "line", "n", (F.col("n") - F.col("pos")).alias("rest")), "line-postings")
+    discard(lines, repeated, common)
+    # Copies are gone now; tokens that only copies shared are no more shared.
+    held = stored(shared.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1"), "line-held")
+    shared = stored(shared.join(held.select("token"), "token"), "line-shared")
+    top = held.filter(F.col("held") >= FREQUENT_FROM).orderBy(F.desc("held"), "token").limit(FREQUENT_MOST)
+    frequent = [r["token"] for r in top.collect()]
+    if frequent:
+        shared = _with_frequent_last(docs, shared, frequent, percent)
 
     def can_match(x: str, y: str) -> Column:
         """y is earlier, and length and position leave room for the overlap."""
@@ -120,31 +112,50 @@ def matched_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
     pair = [F.col("x.doc").alias("doc"), F.col("x.line").alias("line"), F.col("y.doc").alias("to_doc"), F.col("y.line").alias("to_line")]
     leaders = stored(shared.groupBy("token").agg(F.min(F.struct("doc", "line", "n", "rest")).alias("l")).select("token", "l.*"), "line-leaders")
     tried = stored(shared.alias("x").join(leaders.alias("y"), "token").filter(can_match("x", "y")).select(*pair).distinct(), "line-tries")
-    sets = _candidate_sets(docs, shared, frequent)
-    done = stored(_verified(tried, sets, percent), "line-first-matches")
-
+    done = _verified(docs, tried, percent)
     left = shared.join(done, ["doc", "line"], "left_anti")
     rest = left.alias("x").join(shared.alias("y"), "token").filter(can_match("x", "y")).select(*pair).distinct()
-    rest = rest.join(tried, ["doc", "line", "to_doc", "to_line"], "left_anti")
-    return copied.unionByName(done).unionByName(_verified(rest, sets, percent)).distinct()
+    rest = stored(rest.join(tried, ["doc", "line", "to_doc", "to_line"], "left_anti"), "line-rest")
+    more = _verified(docs, rest, percent)
+    found = stored(copied.unionByName(done).unionByName(more).distinct(), "line-matches")
+    discard(copied, held, shared, leaders, tried, rest, done, more)
+    return found
 
 
-def _candidate_sets(docs: DataFrame, shared: DataFrame, frequent: list[int]) -> DataFrame:
-    """Token sets of the lines that have a prefix word in common with another line."""
-    wanted = stored(shared.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("wanted")), "line-wanted")
+def _line_tokens(docs: DataFrame, wanted: DataFrame, frequent: list[int] | None) -> DataFrame:
+    """doc, line, tokens of the lines in ``wanted``, from the texts."""
+    wanted = stored(wanted.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("wanted")), "line-wanted")
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    lines = docs.join(side, "doc").select("doc", F.arrays_zip(F.col("wanted").alias("line"), F.transform("wanted", lambda i: F.get(F.split("text", "\n"), i)).alias("content")).alias("z"))
-    return stored(
-        lines.select("doc", F.explode("z").alias("z")).select("doc", "z.line", ordered_tokens(F.col("z.content"), frequent).alias("tokens")).distinct(), "line-sets"
-    )
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    own = let(F.split("text", "\n"), lambda lines: F.transform("wanted", lambda i: F.struct(i.alias("line"), F.get(lines, i).alias("content"))))
+    lines = docs.join(side, "doc").select("doc", F.explode(own).alias("z"))
+    return lines.select("doc", "z.line", ordered_tokens(F.col("z.content"), frequent).alias("tokens")).filter("tokens is not null")
+
+
+def _with_frequent_last(docs: DataFrame, shared: DataFrame, frequent: list[int], percent: int) -> DataFrame:
+    """Postings under the order that has the frequent tokens last. Prefixes without such a token are
+    the same under both orders."""
+    top = docs.sparkSession.createDataFrame([(t,) for t in frequent], "token long")
+    affected = stored(shared.join(F.broadcast(top), "token").select("doc", "line").distinct(), "line-affected")
+    same = shared.join(affected, ["doc", "line"], "left_anti")
+    tokens = _line_tokens(docs, affected, frequent).withColumn("n", F.size("tokens"))
+    new = tokens.select("doc", "line", "n", F.posexplode(_prefix(F.col("tokens"), percent)).alias("pos", "token"))
+    new = new.select(F.col("token"), "doc", "line", "n", (F.col("n") - F.col("pos")).alias("rest"))
+    both = stored(same.unionByName(new), "line-ordered")
+    held = both.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1").select("token")
+    return stored(both.join(held, "token"), "line-reordered")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """(doc, line) of the pairs' later lines whose sets are similar enough."""
-    other = sets.select(F.col("doc").alias("to_doc"), F.col("line").alias("to_line"), F.col("tokens").alias("to_tokens"))
+    other = pairs.select(F.col("to_doc").alias("doc"), F.col("to_line").alias("line"))
+    sets = stored(_line_tokens(docs, pairs.select("doc", "line").unionByName(other), None), "line-sets")
+    to_sets = sets.select(F.col("doc").alias("to_doc"), F.col("line").alias("to_line"), F.col("tokens").alias("to_tokens"))
     both = F.size(F.array_intersect("tokens", "to_tokens"))
-    near = pairs.join(other, ["to_doc", "to_line"]).join(sets, ["doc", "line"])
-    return near.filter(_similar(F.size("tokens"), F.size("to_tokens"), both, percent)).select("doc", "line").distinct()
+    near = pairs.join(to_sets, ["to_doc", "to_line"]).join(sets, ["doc", "line"])
+    near = near.filter(_similar(F.size("tokens"), F.size("to_tokens"), both, percent))
+    found = stored(near.select("doc", "line").distinct(), "line-near")
+    discard(sets)
+    return found
 
 
 def _removed_numbers(documents: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from curbstar.llm.common import WordRuns, mixed, space_words
 from curbstar.llm.components import components
-from curbstar.sources.scratch import stored
+from curbstar.sources.scratch import discard, stored
 
 #: Rarity classes end here: tokens of this many documents or more count as equally frequent.
 MANY = 64
@@ -283,7 +283,6 @@ def linked_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "
         F.count("*").alias("n_rows"), F.max(F.struct(-F.col("loose"), -F.col("row"))).alias("best")
     ).filter("n_rows > 1").select("token", (-F.col("best.col2")).alias("pivot"))
     postings = stored(postings.join(shared_tokens, "token"), "ngram-postings")
-
     pivots = postings.filter("row = pivot").drop("pivot")
     first = (
         postings.alias("x").filter("row <> pivot").join(pivots.alias("y"), "token").filter(_can_link("x", "y", percent))
@@ -296,11 +295,11 @@ def linked_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "
         postings.join(joined.withColumnRenamed("node", "row"), "row", "left").withColumn("component", label("row"))
     )
     majority = named.filter("row = pivot").select("token", F.col("component").alias("pivot_component"))
-    named = stored(named.join(majority, "token"), "ngram-named")
-    open_tokens = named.filter("component <> pivot_component").select("token").distinct()
-    outside = named.filter("component <> pivot_component")
+    with_parts = stored(named.join(majority, "token"), "ngram-named")
+    open_tokens = with_parts.filter("component <> pivot_component").select("token").distinct()
+    outside = with_parts.filter("component <> pivot_component")
     rest = (
-        outside.alias("x").join(named.join(open_tokens, "token", "left_semi").alias("y"), "token")
+        outside.alias("x").join(with_parts.join(open_tokens, "token", "left_semi").alias("y"), "token")
         .filter(
             (F.col("x.component") != F.col("y.component"))
             & ((F.col("x.row") < F.col("y.row")) | (F.col("y.component") == F.col("y.pivot_component")))
@@ -317,6 +316,7 @@ def linked_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "
     named = stored(
         docs.select("row", "doc", "n").join(joined.withColumnRenamed("node", "row"), "row", "left").withColumn("component", label("row")), "ngram-result"
     )
+    discard(docs, members, sets, postings, with_parts, edges, links)
     smallest = named.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc").alias("component_id"))
     return named.join(smallest, "component").select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id"
