@@ -1,19 +1,20 @@
 """Near-duplicate lines by an exact set-similarity join; later matches go.
 
 A line is its set of 5-word shingles, words in lower case. Lines with the same text are one class,
-at its first occurrence. Tokens have a global order by rarity: tokens that many lines hold come
-last, and within either class the hash decides. Two sets with Jaccard 0.8 or more share a token
-within the first ``n - ceil(0.8 n) + 1`` of each, so only those prefixes are joined, under bounds
-on length and position. A line that matches an earlier line is removed, also where that one is
-removed itself.
+at its first occurrence. Tokens have a global order by rarity: frequent tokens come last, by their
+count, and the hash decides among the others. Two sets with Jaccard 0.8 or more share a token
+within the first ``n - ceil(0.8 n) + 1`` of each under any order, so only those prefixes are
+joined, under bounds on length and position. A line that matches an earlier line is removed, also
+where that one is removed itself.
 
-Nearly all tokens are held by one line. So the prefixes are first taken by hash alone and counted.
-Only lines with a token of high count in that prefix have another prefix under the full order, and
-only theirs are made anew. The list of frequent tokens has a fixed greatest length; a token beyond
-it counts as rare, which changes the order, never the result.
+Nearly all tokens are held by one line. So the prefixes are first taken by hash alone and counted,
+and lines that share no token of theirs match nothing. Where a prefix token has a high count, all
+tokens of its lines are counted, and lines with a frequent token in the prefix get their prefix anew
+under the full order; the others have the same prefix under both.
 
-Large groups of near copies: of each shared prefix token the first line is tried first, and a line
-it removes needs no more comparisons. Only the lines left are compared with all earlier ones.
+Large groups of near copies: of each shared prefix token two lines are tried first, the first and
+the plainest, and a line they remove needs no more comparisons. Only the lines left are compared
+with all earlier ones.
 
 A line is known by (doc_id, line number), and earlier means smaller. All expressions are built-in
 functions.
@@ -29,12 +30,10 @@ from curbstar.sources.scratch import discard, stored
 
 PERCENT = 80
 SHINGLE = 5
-#: Prefix tokens of so many lines are frequent; the most frequent so many make the list.
+#: Tokens of so many lines are frequent.
 FREQUENT_FROM = 32
-FREQUENT_MOST = 4096
 #: Up to this many documents, those with lines to compare are sent to all executors.
 BROADCAST_IDS = 2_000_000
-_HASH_BITS = 60
 _LAST = (1 << 63) - 1
 
 
@@ -44,17 +43,15 @@ def _lines(documents: DataFrame) -> DataFrame:
     return documents.select("doc", F.posexplode(split).alias("line", "content"))
 
 
-def ordered_tokens(content: Column, frequent: list[int] | None = None) -> Column:
-    """Distinct shingles of a line as longs that sort by rarity, null for lines of too few words."""
+def line_tokens(content: Column) -> Column:
+    """Distinct shingles of a line as hashes in order, null for lines of too few words."""
     # One literal space splits several times faster than an expression; other white space is rare.
     spaced = F.when(content.rlike("[\\x09-\\x0D]"), F.translate(content, "\t\x0b\x0c\r", "    ")).otherwise(content)
     words = F.filter(F.split(F.lower(spaced), " "), lambda w: w != "")
 
     def tokens(w: Column) -> Column:
-        hash_at = lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)]).bitwiseAND((1 << _HASH_BITS) - 1)
+        hash_at = lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)])
         hashes = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - SHINGLE), hash_at))
-        if frequent:
-            hashes = F.transform(hashes, lambda h: F.when(h.isin(frequent), h.bitwiseOR(1 << _HASH_BITS)).otherwise(h))
         return F.when(F.size(w) >= SHINGLE, F.sort_array(hashes))
 
     return let(words, tokens)
@@ -77,7 +74,7 @@ def matched_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
     their lines do not match each other.
     """
     docs = documents.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("doc"), F.col(text).alias("text"))
-    hashed = let(ordered_tokens(F.col("content")), lambda t: F.struct(F.size(t).alias("n"), _prefix(t, percent).alias("prefix")))
+    hashed = let(line_tokens(F.col("content")), lambda t: F.struct(F.size(t).alias("n"), _prefix(t, percent).alias("prefix")))
     lines = stored(
         _lines(docs)
         .select("doc", "line", F.xxhash64("content").alias("g1"), F.xxhash64(F.lit(1), "content").alias("g2"), hashed.alias("t"))
@@ -97,10 +94,7 @@ def matched_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
     # Copies are gone now; tokens that only copies shared are no more shared.
     held = stored(shared.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1"), "line-held")
     shared = stored(shared.join(held.select("token"), "token"), "line-shared")
-    top = held.filter(F.col("held") >= FREQUENT_FROM).orderBy(F.desc("held"), "token").limit(FREQUENT_MOST)
-    frequent = [r["token"] for r in top.collect()]
-    if frequent:
-        shared = _with_frequent_last(docs, shared, frequent, percent)
+    shared = _with_frequent_last(docs, shared, held.filter(F.col("held") >= FREQUENT_FROM), percent)
 
     def can_match(x: str, y: str) -> Column:
         """y is earlier, and length and position leave room for the overlap."""
@@ -110,45 +104,67 @@ def matched_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
         return earlier & lengths & _similar(c(x, "n"), c(y, "n"), F.least(c(x, "rest"), c(y, "rest")), percent)
 
     pair = [F.col("x.doc").alias("doc"), F.col("x.line").alias("line"), F.col("y.doc").alias("to_doc"), F.col("y.line").alias("to_line")]
-    leaders = stored(shared.groupBy("token").agg(F.min(F.struct("doc", "line", "n", "rest")).alias("l")).select("token", "l.*"), "line-leaders")
-    tried = stored(shared.alias("x").join(leaders.alias("y"), "token").filter(can_match("x", "y")).select(*pair).distinct(), "line-tries")
-    done = _verified(docs, tried, percent)
-    left = shared.join(done, ["doc", "line"], "left_anti")
+    nothing = docs.sparkSession.createDataFrame([], "doc long, line int")
+    none_tried = docs.sparkSession.createDataFrame([], "doc long, line int, to_doc long, to_line int")
+    tables, done, tried, left = [copied, held, shared], nothing, none_tried, shared
+    # The first line of a token, then its first line among those with the fewest rarer tokens ahead,
+    # which is the plainest of a group of edited copies.
+    for ahead in (F.lit(0), F.col("n") - F.col("rest")):
+        leaders = shared.withColumn("ahead", ahead).groupBy("token").agg(F.min(F.struct("ahead", "doc", "line", "n", "rest")).alias("l"))
+        leaders = stored(leaders.select("token", "l.*"), "line-leaders")
+        new = left.alias("x").join(leaders.alias("y"), "token").filter(can_match("x", "y")).select(*pair).distinct()
+        new = stored(new.join(tried, ["doc", "line", "to_doc", "to_line"], "left_anti"), "line-tries")
+        near = _verified(docs, new, percent)
+        done, tried = done.unionByName(near), tried.unionByName(new)
+        left = stored(left.join(near, ["doc", "line"], "left_anti"), "line-left")
+        tables += [leaders, new, near, left]
     rest = left.alias("x").join(shared.alias("y"), "token").filter(can_match("x", "y")).select(*pair).distinct()
     rest = stored(rest.join(tried, ["doc", "line", "to_doc", "to_line"], "left_anti"), "line-rest")
     more = _verified(docs, rest, percent)
     found = stored(copied.unionByName(done).unionByName(more).distinct(), "line-matches")
-    discard(copied, held, shared, leaders, tried, rest, done, more)
+    discard(*tables, rest, more)
     return found
 
 
-def _line_tokens(docs: DataFrame, wanted: DataFrame, frequent: list[int] | None) -> DataFrame:
+def _tokens_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """doc, line, tokens of the lines in ``wanted``, from the texts."""
     wanted = stored(wanted.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("wanted")), "line-wanted")
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     own = let(F.split("text", "\n"), lambda lines: F.transform("wanted", lambda i: F.struct(i.alias("line"), F.get(lines, i).alias("content"))))
     lines = docs.join(side, "doc").select("doc", F.explode(own).alias("z"))
-    return lines.select("doc", "z.line", ordered_tokens(F.col("z.content"), frequent).alias("tokens")).filter("tokens is not null")
-
-
-def _with_frequent_last(docs: DataFrame, shared: DataFrame, frequent: list[int], percent: int) -> DataFrame:
-    """Postings under the order that has the frequent tokens last. Prefixes without such a token are
-    the same under both orders."""
-    top = docs.sparkSession.createDataFrame([(t,) for t in frequent], "token long")
-    affected = stored(shared.join(F.broadcast(top), "token").select("doc", "line").distinct(), "line-affected")
-    same = shared.join(affected, ["doc", "line"], "left_anti")
-    tokens = _line_tokens(docs, affected, frequent).withColumn("n", F.size("tokens"))
-    new = tokens.select("doc", "line", "n", F.posexplode(_prefix(F.col("tokens"), percent)).alias("pos", "token"))
-    new = new.select(F.col("token"), "doc", "line", "n", (F.col("n") - F.col("pos")).alias("rest"))
+    return lines.select("doc", "z.line", line_tokens(F.col("z.content")).alias("tokens")).filter("tokens is not null")
+
+
+def _with_frequent_last(docs: DataFrame, shared: DataFrame, seeds: DataFrame, percent: int) -> DataFrame:
+    """Postings under the order that has frequent tokens last, from postings by hash.
+
+    ``seeds`` are the prefix tokens of high count. Lines that hold one are counted with all their
+    tokens, which gives the rank of every frequent token.
+    """
+    hot = stored(shared.join(seeds.select("token"), "token").select("doc", "line").distinct(), "line-hot")
+    exploded = lambda lines: _tokens_of(docs, lines).select("doc", "line", F.explode("tokens").alias("token")).distinct()
+    of_hot = stored(exploded(hot), "line-hot-tokens")
+    counts = of_hot.groupBy("token").agg(F.count("*").alias("rank")).filter(F.col("rank") >= FREQUENT_FROM)
+    ranks = stored(counts, "line-ranks")
+    touched = shared.join(ranks, "token").select("doc", "line").distinct().join(hot, ["doc", "line"], "left_anti")
+    touched = stored(touched, "line-touched")
+    tokens = of_hot.unionByName(exploded(touched)).join(ranks, "token", "left")
+    rank = F.coalesce("rank", F.lit(0))
+    sets = tokens.groupBy("doc", "line").agg(F.sort_array(F.collect_list(F.struct(rank.alias("rank"), "token"))).alias("tokens"))
+    new = sets.select("doc", "line", F.size("tokens").alias("n"), F.posexplode(_prefix(F.col("tokens"), percent)).alias("pos", "t"))
+    new = new.select("t.token", "doc", "line", "n", (F.col("n") - F.col("pos")).alias("rest"))
+    same = shared.join(hot.unionByName(touched), ["doc", "line"], "left_anti")
     both = stored(same.unionByName(new), "line-ordered")
     held = both.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1").select("token")
-    return stored(both.join(held, "token"), "line-reordered")
+    out = stored(both.join(held, "token"), "line-reordered")
+    discard(hot, of_hot, ranks, touched, both)
+    return out
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """(doc, line) of the pairs' later lines whose sets are similar enough."""
     other = pairs.select(F.col("to_doc").alias("doc"), F.col("to_line").alias("line"))
-    sets = stored(_line_tokens(docs, pairs.select("doc", "line").unionByName(other), None), "line-sets")
+    sets = stored(_tokens_of(docs, pairs.select("doc", "line").unionByName(other)), "line-sets")
     to_sets = sets.select(F.col("doc").alias("to_doc"), F.col("line").alias("to_line"), F.col("tokens").alias("to_tokens"))
     both = F.size(F.array_intersect("tokens", "to_tokens"))
     near = pairs.join(to_sets, ["to_doc", "to_line"]).join(sets, ["doc", "line"])
