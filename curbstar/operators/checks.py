@@ -150,22 +150,30 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def primary_key_report(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> DataFrame:
-    """Per table: keys that occur more than once, the rows beyond the first, null keys."""
+    """Per table: keys that occur more than once, the rows beyond the first, null keys.
 
-    def one(name: str, key: str) -> DataFrame:
-        counted = tables[name].groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("n"))
-        present = F.col("_key").isNotNull()
-        surplus = F.sum(F.when(present, F.col("n") - 1))
-        absent = F.sum(F.when(~present, F.col("n")))
-        return counted.agg(
-            F.lit(name).alias("table_name"),
-            F.lit(key).alias("key_column"),
-            F.count_if(present & (F.col("n") > 1)).alias("repeated_keys"),
-            F.coalesce(surplus, F.lit(0)).alias("surplus_rows"),
-            F.coalesce(absent, F.lit(0)).alias("null_keys"),
-        )
-
-    return reduce(DataFrame.unionAll, [one(name, key) for name, key in keys.items()])
+    The keys of all tables are counted in one shuffle, each table reduced before it.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    every = reduce(
+        DataFrame.unionAll,
+        [
+            tables[name].select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("_key"))
+            for name, key in keys.items()
+        ],
+    )
+    counted = every.groupBy("table_name", "_key").agg(F.count("*").alias("n"))
+    present = F.col("_key").isNotNull()
+    found = counted.groupBy("table_name").agg(
+        F.count_if(present & (F.col("n") > 1)).alias("repeated_keys"),
+        F.sum(F.when(present, F.col("n") - 1)).alias("surplus_rows"),
+        F.sum(F.when(~present, F.col("n"))).alias("null_keys"),
+    )
+    named = spark.createDataFrame(list(keys.items()), "table_name string, key_column string")
+    numbers = ("repeated_keys", "surplus_rows", "null_keys")
+    return named.join(found, "table_name", "left").select(
+        "table_name", "key_column", *[F.coalesce(n, F.lit(0)).alias(n) for n in numbers]
+    )
 
 
 def null_key_report(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -188,25 +196,36 @@ def reference_report(
 ) -> DataFrame:
     """Per reference: fact keys that their dimension lacks, and the fact rows with them.
 
-    Fact rows are counted per key before the join, so a frequent key is one row in it.
+    The fact is read once, and its rows are counted per reference and key before the one join, so
+    a frequent key is one row in it.
     """
-
-    def one(column: str, dimension: str, key: str) -> DataFrame:
-        used = (
-            fact.filter(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("_key"))
-            .agg(F.count("*").alias("n"))
-        )
-        known = dimensions[dimension].select(F.col(key).alias("_key"))
-        orphans = used.join(known, "_key", "left_anti")
-        return orphans.agg(
-            F.lit(column).alias("fact_column"),
-            F.lit(dimension).alias("dimension"),
-            F.count("*").alias("orphan_keys"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
-        )
-
-    return reduce(
+    spark = fact.sparkSession
+    uses = [
+        F.struct(F.lit(column).alias("fact_column"), F.col(column).cast("string").alias("_key"))
+        for column in references
+    ]
+    used = fact.select(F.explode(F.array(*uses)).alias("use")).select("use.*")
+    used = used.filter(F.col("_key").isNotNull())
+    used = used.groupBy("fact_column", "_key").agg(F.count("*").alias("n"))
+    known = reduce(
         DataFrame.unionAll,
-        [one(column, *target) for column, target in references.items()],
+        [
+            dimensions[dimension].select(
+                F.lit(column).alias("fact_column"), F.col(key).cast("string").alias("_key")
+            )
+            for column, (dimension, key) in references.items()
+        ],
+    )
+    orphans = used.join(known, ["fact_column", "_key"], "left_anti")
+    found = orphans.groupBy("fact_column").agg(
+        F.count("*").alias("orphan_keys"), F.sum("n").alias("orphan_rows")
+    )
+    named = spark.createDataFrame(
+        [(column, dimension) for column, (dimension, _) in references.items()],
+        "fact_column string, dimension string",
+    )
+    return named.join(found, "fact_column", "left").select(
+        "fact_column",
+        "dimension",
+        *[F.coalesce(n, F.lit(0)).alias(n) for n in ("orphan_keys", "orphan_rows")],
     )

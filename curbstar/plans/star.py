@@ -85,13 +85,9 @@ def vehicle_dimension(stage2: DataFrame) -> DataFrame:
         "registration_state": F.col("registration_state"),
         "plate_type": F.col("plate_type"),
     }
-    vehicle_id = _vehicle_id()
     rows = last_known(
         stage2,
-        keys={
-            "id": vehicle_id,
-            "_keyless": F.when(vehicle_id.isNull(), F.struct(*identity.values())),
-        },
+        keys=_vehicle_keys(),
         order=event_order(F.col("issue_date"), F.col("summons_number")),
         latest={
             "body_type": F.col("vehicle_body_type"),
@@ -106,16 +102,25 @@ def vehicle_dimension(stage2: DataFrame) -> DataFrame:
     return conform(rows.withColumns(defaults), S.VEHICLE)
 
 
+def _vehicle_keys() -> dict[str, Column]:
+    """The key, and for vehicles without one what tells them apart."""
+    parts = F.struct("plate_id", "registration_state", "plate_type")
+    return {"id": _vehicle_id(), "_keyless": F.when(_vehicle_id().isNull(), parts)}
+
+
 def last_known_attribute(
     stage2: DataFrame, column: str, name: str, default: str | None = None
 ) -> DataFrame:
-    """The last known value of one column per vehicle: id and the value."""
+    """The last known value of one column per vehicle: id and the value.
+
+    Vehicles without a key are told apart as in the dimension, each a row with a null id.
+    """
     rows = last_known(
         stage2,
-        keys={"id": _vehicle_id()},
+        keys=_vehicle_keys(),
         order=event_order(F.col("issue_date"), F.col("summons_number")),
         latest={name: F.col(column)},
-    )
+    ).drop("_keyless")
     if default is None:
         return rows
     return rows.withColumn(name, F.coalesce(F.col(name), F.lit(default)))

@@ -315,3 +315,25 @@ def test_load_from_raw_files(spark, sf_dir, tables, loaded, tmp_path):
 def test_load_needs_a_source_for_every_table(spark, tmp_path):
     with pytest.raises(ValueError, match="stage_violation"):
         load.load_star(spark, {}, str(tmp_path), load.LoadSettings(2020))
+
+
+def test_vehicles_without_a_key_stay_apart_everywhere(spark):
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.STAGE2_VIOLATION)
+    blank = {f.name: None for f in S.STAGE2_VIOLATION}
+    cars = [{"plate_id": p, "registration_state": "NY", "vehicle_make": m} for p, m in (("A", "BMW"), ("B", "FIAT"))]
+    stage2 = spark.createDataFrame([tuple((blank | car).values()) for car in cars], columns)
+    makers = star.last_known_attribute(stage2, "vehicle_make", "maker").collect()
+    assert sorted(tuple(r) for r in makers) == [(None, "BMW"), (None, "FIAT")]
+    assert star.vehicle_dimension(stage2).count() == 2
+
+
+def test_reference_report_reads_the_fact_once(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    spark.sql("SELECT 'a' AS vehicle, 1 AS code").write.parquet(path)
+    dimension = spark.sql("SELECT 'a' AS id, 2 AS code")
+    report = checks.reference_report(
+        spark.read.parquet(path), {"vehicle": dimension}, {"vehicle": ("vehicle", "id"), "code": ("vehicle", "code")}
+    )
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1 and plan.count("LeftAnti") == 1, plan
+    assert sorted(tuple(r) for r in report.collect()) == [("code", "vehicle", 1, 1), ("vehicle", "vehicle", 0, 0)]

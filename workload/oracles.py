@@ -306,7 +306,7 @@ def _last(column: str, name: str, default: str | None = None) -> str:
     value = "v" if default is None else f"ifnull(v, '{default}')"
     return statement(
         f"""SELECT id, {value} AS {name} FROM (
-  SELECT id, {column} AS v, row_number() OVER (PARTITION BY id ORDER BY {column} IS NULL,
+  SELECT id, {column} AS v, row_number() OVER (PARTITION BY id, CASE WHEN id IS NULL THEN (plate_id, registration_state, plate_type) END ORDER BY {column} IS NULL,
     issue_date DESC NULLS FIRST, summons_number DESC) AS place
   FROM (SELECT *, {_VEHICLE_ID} AS id FROM stage2)) WHERE place = 1""",
         "stage2",
