@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,9 @@ from pyspark.sql import functions as F
 SPACES = " \t\n\x0b\f\r"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
+#: UTF-8 bytes of text that a task takes apart at a time.
+PIECE_BYTES = 2_000_000
+
 #: Bytes of the definition ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing A-Z: digits,
 #: small letters and all of UTF-8 beyond ASCII stay, the rest separates.
 PLAIN_WORD_BYTES = bytes(
@@ -41,6 +46,20 @@ def plain_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(PLAIN_WORD_BYTES).split() if text else []
 
 
+def pieces(batch: pa.RecordBatch, column: str = "text", most_bytes: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in pieces of bounded text, so memory does not depend on how long texts are
+    on average; a longer text is a piece of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    start = total = 0
+    for i, size in enumerate(sizes):
+        if i > start and total + size > most_bytes:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += size
+    if start < len(sizes):
+        yield batch.slice(start)
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """A bijective finish that spreads each input bit over all 64."""
     with np.errstate(over="ignore"):

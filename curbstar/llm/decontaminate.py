@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbstar.llm.common import WordRuns, plain_words
+from curbstar.llm.common import WordRuns, pieces, plain_words
 from curbstar.sources.scratch import stored
 
 #: Words of an item that make a window, and of a k-gram.
@@ -115,8 +115,7 @@ def _scan(block_sent, window: int, gram: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = block_sent.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                piece = batch.slice(at, 500)
+            for piece in pieces(batch):
                 yield from results(piece, block)
 
     def results(batch: pa.RecordBatch, block: Block) -> Iterator[pa.RecordBatch]:

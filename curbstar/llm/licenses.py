@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from curbstar.llm.common import WordRuns, plain_words
+from curbstar.llm.common import WordRuns, pieces, plain_words
 from curbstar.sources.scratch import stored
 
 GRAM = 4
@@ -74,8 +74,8 @@ def _scan(phrases: tuple, templates: tuple, gram: int):
             k = len(plain_words(text))
             by_length.setdefault(k, []).append((int(_hashes([text], k)[0][0]), label))
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                yield results(batch.slice(at, 500), wanted, by_length)
+            for piece in pieces(batch):
+                yield results(piece, wanted, by_length)
 
     def results(batch: pa.RecordBatch, wanted: np.ndarray, by_length: dict) -> pa.RecordBatch:
         n = batch.num_rows

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curbstar.llm.common import pieces
 from curbstar.llm.quality import FUNCTION_WORDS
 
 LONG_CHARS = 140
@@ -171,8 +172,7 @@ def main_text(page: str | None) -> tuple[str, int, int]:
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            piece = batch.slice(at, 500)
+        for piece in pieces(batch, "html"):
             found = [main_text(page) for page in piece.column("html").to_pylist()]
             texts, n_blocks, n_kept = (list(x) for x in zip(*found, strict=True)) if found else ([], [], [])
             yield pa.RecordBatch.from_arrays(

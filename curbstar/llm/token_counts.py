@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curbstar.llm.common import pieces
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MOST_VOCABULARY_BYTES = 32_000_000
 #: Fixed value: the split pattern that belongs to the vocabulary.
@@ -83,8 +85,8 @@ def _count(vocabulary_sent, pattern: str, rule: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, lengths = _encoding(vocabulary_sent.value, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                yield counted(batch.slice(at, 200), encoding, lengths)
+            for piece in pieces(batch):
+                yield counted(piece, encoding, lengths)
 
     def counted(batch: pa.RecordBatch, encoding, lengths: np.ndarray) -> pa.RecordBatch:
         columns: list[list] = [[], [], [], [], [], []]
