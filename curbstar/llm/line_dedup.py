@@ -142,7 +142,7 @@ def _with_frequent_last(docs: DataFrame, shared: DataFrame, seeds: DataFrame, pe
     tokens, which gives the rank of every frequent token.
     """
     hot = stored(shared.join(seeds.select("token"), "token").select("doc", "line").distinct(), "line-hot")
-    exploded = lambda lines: _tokens_of(docs, lines).select("doc", "line", F.explode("tokens").alias("token")).distinct()
+    exploded = lambda lines: _tokens_of(docs, lines).select("doc", "line", F.explode("tokens").alias("token"))
     of_hot = stored(exploded(hot), "line-hot-tokens")
     counts = of_hot.groupBy("token").agg(F.count("*").alias("rank")).filter(F.col("rank") >= FREQUENT_FROM)
     ranks = stored(counts, "line-ranks")
@@ -150,7 +150,7 @@ def _with_frequent_last(docs: DataFrame, shared: DataFrame, seeds: DataFrame, pe
     touched = stored(touched, "line-touched")
     tokens = of_hot.unionByName(exploded(touched)).join(ranks, "token", "left")
     rank = F.coalesce("rank", F.lit(0))
-    sets = tokens.groupBy("doc", "line").agg(F.sort_array(F.collect_list(F.struct(rank.alias("rank"), "token"))).alias("tokens"))
+    sets = tokens.groupBy("doc", "line").agg(F.sort_array(F.collect_set(F.struct(rank.alias("rank"), "token"))).alias("tokens"))
     new = sets.select("doc", "line", F.size("tokens").alias("n"), F.posexplode(_prefix(F.col("tokens"), percent)).alias("pos", "t"))
     new = new.select("t.token", "doc", "line", "n", (F.col("n") - F.col("pos")).alias("rest"))
     same = shared.join(hot.unionByName(touched), ["doc", "line"], "left_anti")
