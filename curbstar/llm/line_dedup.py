@@ -1,6 +1,7 @@
 """Near-duplicate lines by an exact set-similarity join; later matches go.
 
-A line is its set of 5-word shingles, words in lower case. Lines with the same text are one class,
+A line is its set of 5-word shingles, words in lower case, as the SQL of the registered query has it;
+with ``shingle=1`` it is its set of words, which matches many more edited lines. Lines with the same text are one class,
 at its first occurrence. Tokens have a global order by rarity: frequent tokens come last, by their
 count, and the hash decides among the others. Two sets with Jaccard 0.8 or more share a token
 within the first ``n - ceil(0.8 n) + 1`` of each under any order, so only those prefixes are
@@ -22,6 +23,8 @@ functions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,16 +46,16 @@ def _lines(documents: DataFrame) -> DataFrame:
     return documents.select("doc", F.posexplode(split).alias("line", "content"))
 
 
-def line_tokens(content: Column) -> Column:
-    """Distinct shingles of a line as hashes in order, null for lines of too few words."""
+def line_tokens(content: Column, shingle: int = SHINGLE) -> Column:
+    """Distinct runs of ``shingle`` words of a line as hashes in order, null for lines of too few words."""
     # One literal space splits several times faster than an expression; other white space is rare.
     spaced = F.when(content.rlike("[\\x09-\\x0D]"), F.translate(content, "\t\x0b\x0c\r", "    ")).otherwise(content)
     words = F.filter(F.split(F.lower(spaced), " "), lambda w: w != "")
 
     def tokens(w: Column) -> Column:
-        hash_at = lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)])
-        hashes = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - SHINGLE), hash_at))
-        return F.when(F.size(w) >= SHINGLE, F.sort_array(hashes))
+        hash_at = lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(shingle)])
+        hashes = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - shingle), hash_at))
+        return F.when(F.size(w) >= shingle, F.sort_array(hashes))
 
     return let(words, tokens)
 
@@ -66,15 +69,16 @@ def _similar(n_x: Column, n_y: Column, both: Column, percent: int) -> Column:
     return (100 + percent) * both >= percent * (n_x + n_y)
 
 
-def matched_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def matched_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """(doc, line) of every line to remove: it has the text, or nearly the shingles, of an earlier line.
 
-    Lines of fewer than ``SHINGLE`` words, so all lines of null and empty texts, are never removed.
+    Lines of fewer than ``shingle`` words, so all lines of null and empty texts, are never removed.
     Rows without an id come after all others. Rows that repeat an id and text are one document:
     their lines do not match each other.
     """
     docs = documents.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("doc"), F.col(text).alias("text"))
-    hashed = let(line_tokens(F.col("content")), lambda t: F.struct(F.size(t).alias("n"), _prefix(t, percent).alias("prefix")))
+    tokens_of = lambda content: line_tokens(content, shingle)
+    hashed = let(tokens_of(F.col("content")), lambda t: F.struct(F.size(t).alias("n"), _prefix(t, percent).alias("prefix")))
     lines = stored(
         _lines(docs)
         .select("doc", "line", F.xxhash64("content").alias("g1"), F.xxhash64(F.lit(1), "content").alias("g2"), hashed.alias("t"))
@@ -94,7 +98,7 @@ def matched_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
     # Copies are gone now; tokens that only copies shared are no more shared.
     held = stored(shared.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1"), "line-held")
     shared = stored(shared.join(held.select("token"), "token"), "line-shared")
-    shared = _with_frequent_last(docs, shared, held.filter(F.col("held") >= FREQUENT_FROM), percent)
+    shared = _with_frequent_last(docs, shared, held.filter(F.col("held") >= FREQUENT_FROM), percent, tokens_of)
 
     def can_match(x: str, y: str) -> Column:
         """y is earlier, and length and position leave room for the overlap."""
@@ -114,35 +118,35 @@ def matched_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
         leaders = stored(leaders.select("token", "l.*"), "line-leaders")
         new = left.alias("x").join(leaders.alias("y"), "token").filter(can_match("x", "y")).select(*pair).distinct()
         new = stored(new.join(tried, ["doc", "line", "to_doc", "to_line"], "left_anti"), "line-tries")
-        near = _verified(docs, new, percent)
+        near = _verified(docs, new, percent, tokens_of)
         done, tried = done.unionByName(near), tried.unionByName(new)
         left = stored(left.join(near, ["doc", "line"], "left_anti"), "line-left")
         tables += [leaders, new, near, left]
     rest = left.alias("x").join(shared.alias("y"), "token").filter(can_match("x", "y")).select(*pair).distinct()
     rest = stored(rest.join(tried, ["doc", "line", "to_doc", "to_line"], "left_anti"), "line-rest")
-    more = _verified(docs, rest, percent)
+    more = _verified(docs, rest, percent, tokens_of)
     found = stored(copied.unionByName(done).unionByName(more).distinct(), "line-matches")
     discard(*tables, rest, more)
     return found
 
 
-def _tokens_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _tokens_of(docs: DataFrame, wanted: DataFrame, tokens_of: Callable[[Column], Column]) -> DataFrame:
     """doc, line, tokens of the lines in ``wanted``, from the texts."""
     wanted = stored(wanted.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("wanted")), "line-wanted")
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     own = let(F.split("text", "\n"), lambda lines: F.transform("wanted", lambda i: F.struct(i.alias("line"), F.get(lines, i).alias("content"))))
     lines = docs.join(side, "doc").select("doc", F.explode(own).alias("z"))
-    return lines.select("doc", "z.line", line_tokens(F.col("z.content")).alias("tokens")).filter("tokens is not null")
+    return lines.select("doc", "z.line", tokens_of(F.col("z.content")).alias("tokens")).filter("tokens is not null")
 
 
-def _with_frequent_last(docs: DataFrame, shared: DataFrame, seeds: DataFrame, percent: int) -> DataFrame:
+def _with_frequent_last(docs: DataFrame, shared: DataFrame, seeds: DataFrame, percent: int, tokens_of: Callable[[Column], Column]) -> DataFrame:
     """Postings under the order that has frequent tokens last, from postings by hash.
 
     ``seeds`` are the prefix tokens of high count. Lines that hold one are counted with all their
     tokens, which gives the rank of every frequent token.
     """
     hot = stored(shared.join(seeds.select("token"), "token").select("doc", "line").distinct(), "line-hot")
-    exploded = lambda lines: _tokens_of(docs, lines).select("doc", "line", F.explode("tokens").alias("token"))
+    exploded = lambda lines: _tokens_of(docs, lines, tokens_of).select("doc", "line", F.explode("tokens").alias("token"))
     of_hot = stored(exploded(hot), "line-hot-tokens")
     counts = of_hot.groupBy("token").agg(F.count("*").alias("rank")).filter(F.col("rank") >= FREQUENT_FROM)
     ranks = stored(counts, "line-ranks")
@@ -161,10 +165,10 @@ def _with_frequent_last(docs: DataFrame, shared: DataFrame, seeds: DataFrame, pe
     return out
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, percent: int, tokens_of: Callable[[Column], Column]) -> DataFrame:
     """(doc, line) of the pairs' later lines whose sets are similar enough."""
     other = pairs.select(F.col("to_doc").alias("doc"), F.col("to_line").alias("line"))
-    sets = stored(_tokens_of(docs, pairs.select("doc", "line").unionByName(other)), "line-sets")
+    sets = stored(_tokens_of(docs, pairs.select("doc", "line").unionByName(other), tokens_of), "line-sets")
     to_sets = sets.select(F.col("doc").alias("to_doc"), F.col("line").alias("to_line"), F.col("tokens").alias("to_tokens"))
     both = F.size(F.array_intersect("tokens", "to_tokens"))
     near = pairs.join(to_sets, ["to_doc", "to_line"]).join(sets, ["doc", "line"])
@@ -174,17 +178,17 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return found
 
 
-def _removed_numbers(documents: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
-    found = matched_lines(documents, doc_id, text, percent)
+def _removed_numbers(documents: DataFrame, doc_id: str, text: str, percent: int, shingle: int) -> DataFrame:
+    found = matched_lines(documents, doc_id, text, percent, shingle)
     return found.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
 
-def line_report(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def line_report(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """One row per input row: doc_id, n_lines, n_removed, removed (line numbers from 0, comma-joined).
 
     A null or empty text has one empty line and loses nothing; an empty table gives an empty result.
     """
-    removed = _removed_numbers(documents, doc_id, text, percent)
+    removed = _removed_numbers(documents, doc_id, text, percent, shingle)
     lines = F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).cast("long")
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
     docs = documents.select(F.col(doc_id).alias("doc_id"), key.alias("doc"), lines.alias("n_lines"))
@@ -195,12 +199,12 @@ def line_report(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     )
 
 
-def deduplicated_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def deduplicated_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """``documents`` without their removed lines, all other columns as they are.
 
     A document whose words are all in removed lines goes; texts that lose nothing are unchanged.
     """
-    removed = _removed_numbers(documents, doc_id, text, percent).withColumnRenamed("doc", "__doc").withColumnRenamed("removed", "__removed")
+    removed = _removed_numbers(documents, doc_id, text, percent, shingle).withColumnRenamed("doc", "__doc").withColumnRenamed("removed", "__removed")
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
     joined = documents.join(removed, key == F.col("__doc"), "left")
     kept = let(

@@ -87,6 +87,31 @@ def test_removed_lines(docs, rows, monkeypatch, frequent_from):
     assert sum(r["n_removed"] for r in report) == len(want)
 
 
+def word_set_copies(rows, percent=80):
+    """{(doc_id, line)} with an earlier line of similar word sets."""
+    lines, out = [], set()
+    for d, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        for i, line in enumerate((text or "").split("\n")):
+            own = set(brute.space_words(line.lower()))
+            if any(100 * len(own & x) >= percent * len(own | x) for x in lines if own and 100 * min(len(own), len(x)) >= percent * max(len(own), len(x))):
+                out.add((d, i))
+            lines.append(own)
+    return out
+
+
+@pytest.mark.parametrize("frequent_from", [2, 32])
+def test_removed_lines_by_word_sets(spark, rows, monkeypatch, frequent_from):
+    """A line of 20 words with one changed in the middle has word Jaccard 19/21, shingle Jaccard 11/21."""
+    monkeypatch.setattr(line_dedup, "FREQUENT_FROM", frequent_from)
+    base = [f"v{i}" for i in range(20)]
+    own = rows[:40] + ODD + [(1, " ".join(base)), (2, " ".join([*base[:10], "other", *base[11:]]))]
+    own = [(d, t) if d is None else (d + 100_000 * (k >= len(own) - 2), t) for k, (d, t) in enumerate(own)]
+    want = word_set_copies(own)
+    assert (100_002, 0) in want and (100_002, 0) not in brute.removed_lines(own)
+    report = line_dedup.line_report(spark.createDataFrame(own, "doc_id long, text string"), shingle=1).collect()
+    assert {(r["doc_id"], int(i)) for r in report for i in r["removed"].split(",") if i} == want
+
+
 def test_deduplicated_documents_keep_order_and_columns(docs, rows):
     gone = brute.removed_lines(rows)
     want = []
