@@ -46,8 +46,9 @@ def _lines(documents: DataFrame) -> DataFrame:
     return documents.select("doc", F.posexplode(split).alias("line", "content"))
 
 
-def line_tokens(content: Column, shingle: int = SHINGLE) -> Column:
-    """Distinct runs of ``shingle`` words of a line as hashes in order, null for lines of too few words."""
+def line_tokens(content: Column, shingle: int = SHINGLE, short: bool = False) -> Column:
+    """Distinct runs of ``shingle`` words of a line as hashes in order. A line of fewer words is one
+    token if ``short``, else null; a line without words is null."""
     # One literal space splits several times faster than an expression; other white space is rare.
     spaced = F.when(content.rlike("[\\x09-\\x0D]"), F.translate(content, "\t\x0b\x0c\r", "    ")).otherwise(content)
     words = F.filter(F.split(F.lower(spaced), " "), lambda w: w != "")
@@ -55,7 +56,8 @@ def line_tokens(content: Column, shingle: int = SHINGLE) -> Column:
     def tokens(w: Column) -> Column:
         hash_at = lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(shingle)])
         hashes = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - shingle), hash_at))
-        return F.when(F.size(w) >= shingle, F.sort_array(hashes))
+        runs = F.when(F.size(w) >= shingle, F.sort_array(hashes))
+        return runs.when(F.size(w) > 0, F.array(F.xxhash64(w))) if short else runs
 
     return let(words, tokens)
 
@@ -69,15 +71,16 @@ def _similar(n_x: Column, n_y: Column, both: Column, percent: int) -> Column:
     return (100 + percent) * both >= percent * (n_x + n_y)
 
 
-def matched_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+def matched_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE, short: bool = False) -> DataFrame:
     """(doc, line) of every line to remove: it has the text, or nearly the shingles, of an earlier line.
 
-    Lines of fewer than ``shingle`` words, so all lines of null and empty texts, are never removed.
+    Lines of fewer than ``shingle`` words are compared as a whole if ``short``, else never removed;
+    lines without words, so all lines of null and empty texts, are never removed.
     Rows without an id come after all others. Rows that repeat an id and text are one document:
     their lines do not match each other.
     """
     docs = documents.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("doc"), F.col(text).alias("text"))
-    tokens_of = lambda content: line_tokens(content, shingle)
+    tokens_of = lambda content: line_tokens(content, shingle, short)
     hashed = let(tokens_of(F.col("content")), lambda t: F.struct(F.size(t).alias("n"), _prefix(t, percent).alias("prefix")))
     lines = stored(
         _lines(docs)
@@ -178,17 +181,17 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int, tokens_of: Callab
     return found
 
 
-def _removed_numbers(documents: DataFrame, doc_id: str, text: str, percent: int, shingle: int) -> DataFrame:
-    found = matched_lines(documents, doc_id, text, percent, shingle)
+def _removed_numbers(documents: DataFrame, doc_id: str, text: str, percent: int, shingle: int, short: bool) -> DataFrame:
+    found = matched_lines(documents, doc_id, text, percent, shingle, short)
     return found.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
 
-def line_report(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+def line_report(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE, short: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_lines, n_removed, removed (line numbers from 0, comma-joined).
 
     A null or empty text has one empty line and loses nothing; an empty table gives an empty result.
     """
-    removed = _removed_numbers(documents, doc_id, text, percent, shingle)
+    removed = _removed_numbers(documents, doc_id, text, percent, shingle, short)
     lines = F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).cast("long")
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
     docs = documents.select(F.col(doc_id).alias("doc_id"), key.alias("doc"), lines.alias("n_lines"))
@@ -199,12 +202,12 @@ def line_report(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     )
 
 
-def deduplicated_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+def deduplicated_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE, short: bool = False) -> DataFrame:
     """``documents`` without their removed lines, all other columns as they are.
 
     A document whose words are all in removed lines goes; texts that lose nothing are unchanged.
     """
-    removed = _removed_numbers(documents, doc_id, text, percent, shingle).withColumnRenamed("doc", "__doc").withColumnRenamed("removed", "__removed")
+    removed = _removed_numbers(documents, doc_id, text, percent, shingle, short).withColumnRenamed("doc", "__doc").withColumnRenamed("removed", "__removed")
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
     joined = documents.join(removed, key == F.col("__doc"), "left")
     kept = let(

@@ -112,6 +112,14 @@ def test_removed_lines_by_word_sets(spark, rows, monkeypatch, frequent_from):
     assert {(r["doc_id"], int(i)) for r in report for i in r["removed"].split(",") if i} == want
 
 
+def test_short_lines_are_compared_as_a_whole(spark):
+    rows = [(1, "All rights reserved.\nown"), (2, "all  rights RESERVED.\n\n "), (3, "All rights\n\n"), (4, "own"), (5, None), (6, "a b c d e f"), (7, "a b c d e f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    removed = lambda **options: {(r["doc_id"], r["removed"]) for r in line_dedup.line_report(docs, **options).collect() if r["removed"]}
+    assert removed() == {(7, "0")}
+    assert removed(short=True) == {(2, "0"), (4, "0"), (7, "0")}
+
+
 def test_deduplicated_documents_keep_order_and_columns(docs, rows):
     gone = brute.removed_lines(rows)
     want = []
