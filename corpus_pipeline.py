@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that the one before kept, and returns the
 columns of ``documents``; the last returns the mixture. :func:`run` writes each stage's result to
-the session's shared folder and reads it again, so a stage is never computed twice.
+the session's shared folder and reads it again, so a stage is never computed twice. Stages act by
+row: rows that share an id, or have none, are documents of their own.
 
 The stages judge by estimates and iterations over the whole corpus, which SQL does not express;
 ``tests/llm`` compares them with plain Python.
@@ -14,13 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbstar.llm import decontaminate, line_dedup, mixing, ngram_join, quality
-from curbstar.llm.common import table, without
+from curbstar.llm.common import KEY, keyed, table, without
 from curbstar.sources.scratch import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality model keeps. Rows without an id stay, as nothing can name them."""
-    return without(docs, quality.judged_documents(docs).filter("not kept").select("doc_id"))
+    """Documents that the quality model keeps."""
+    rows = keyed(docs)
+    return without(rows, quality.judged_documents(rows, KEY).filter("not kept").select("doc_id"))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,15 +31,17 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id."""
-    linked = ngram_join.linked_documents(docs)
-    return without(docs, linked.filter(F.col("doc_id") != F.col("component_id")).select("doc_id"))
+    """Of each group of linked documents the one with the smallest id, the first of those that share it."""
+    rows = keyed(docs)
+    linked = ngram_join.linked_documents(rows, KEY)
+    return without(rows, linked.filter(F.col("doc_id") != F.col("component_id")).select("doc_id"))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark passages cover less than a twentieth."""
-    hits = decontaminate.matched_documents(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, decontaminate.contamination(hits).filter("contaminated").select("doc_id"))
+    rows = keyed(docs)
+    hits = decontaminate.matched_documents(rows, table(spark, sf_dir, "benchmark"), KEY)
+    return without(rows, decontaminate.contamination(hits).filter("contaminated").select("doc_id"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbstar.sources.scratch import stored
+
 #: White space of the word definition ``[^\x20\x09-\x0D]+``.
 SPACES = " \t\n\x0b\f\r"
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -23,6 +25,11 @@ PLAIN_WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
 
+#: Column of :func:`keyed`.
+KEY = "__key"
+#: The place of a row without an id, after all ids.
+LAST = (1 << 63) - 1
+
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -109,7 +116,22 @@ class WordRuns:
         return at, self.hashes(at, at + k - 1)
 
 
-def without(documents: DataFrame, ids: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """Rows of ``documents`` whose id is not in ``ids``; rows without an id stay."""
-    bad = ids.select(F.col(ids.columns[0]).cast("long").alias("__bad_id")).distinct()
-    return documents.join(bad, F.col(doc_id) == F.col("__bad_id"), "left_anti")
+def keyed(documents: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """``documents`` with a key of each row's own in ``KEY``, in the order of ids, rows without an id last.
+
+    Where no two rows share an id it is the key, and nothing is written. Else the rows are numbered
+    in that order and stored once, so that every reading sees the same numbers.
+    """
+    own = documents.withColumn(KEY, F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)))
+    if own.groupBy(KEY).agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        return own
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = own.withColumn("__row", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(parts, KEY, "__row").sortWithinPartitions(KEY, "__row")
+    return stored(rows.withColumn(KEY, F.monotonically_increasing_id()).drop("__row"), "keyed")
+
+
+def without(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of a :func:`keyed` table whose key is not in ``keys``, without their key."""
+    bad = keys.select(F.col(keys.columns[0]).alias("__bad")).distinct()
+    return rows.join(bad, F.col(KEY) == F.col("__bad"), "left_anti").drop(KEY)

@@ -17,7 +17,7 @@ Large groups of near copies: of each shared prefix token two lines are tried fir
 the plainest, and a line they remove needs no more comparisons. Only the lines left are compared
 with all earlier ones.
 
-A line is known by (doc_id, line number), and earlier means smaller. All expressions are built-in
+A line is known by (key of its row, line number), and earlier means smaller; keys follow the ids. All expressions are built-in
 functions.
 """
 
@@ -28,7 +28,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbstar.llm.common import let
+from curbstar.llm.common import KEY, keyed, let
 from curbstar.sources.scratch import discard, stored
 
 PERCENT = 80
@@ -37,7 +37,6 @@ SHINGLE = 5
 FREQUENT_FROM = 32
 #: Up to this many documents, those with lines to compare are sent to all executors.
 BROADCAST_IDS = 2_000_000
-_LAST = (1 << 63) - 1
 
 
 def _lines(documents: DataFrame) -> DataFrame:
@@ -71,15 +70,14 @@ def _similar(n_x: Column, n_y: Column, both: Column, percent: int) -> Column:
     return (100 + percent) * both >= percent * (n_x + n_y)
 
 
-def matched_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE, short: bool = False) -> DataFrame:
+def matched_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE, short: bool = False) -> DataFrame:
     """(doc, line) of every line to remove: it has the text, or nearly the shingles, of an earlier line.
 
     Lines of fewer than ``shingle`` words are compared as a whole if ``short``, else never removed;
     lines without words, so all lines of null and empty texts, are never removed.
-    Rows without an id come after all others. Rows that repeat an id and text are one document:
-    their lines do not match each other.
+    ``key`` tells all rows apart, as :func:`keyed` does.
     """
-    docs = documents.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("doc"), F.col(text).alias("text"))
+    docs = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     tokens_of = lambda content: line_tokens(content, shingle, short)
     hashed = let(tokens_of(F.col("content")), lambda t: F.struct(F.size(t).alias("n"), _prefix(t, percent).alias("prefix")))
     lines = stored(
@@ -181,21 +179,23 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int, tokens_of: Callab
     return found
 
 
-def _removed_numbers(documents: DataFrame, doc_id: str, text: str, percent: int, shingle: int, short: bool) -> DataFrame:
-    found = matched_lines(documents, doc_id, text, percent, shingle, short)
-    return found.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("removed"))
+def _removed_numbers(rows: DataFrame, text: str, percent: int, shingle: int, short: bool) -> DataFrame:
+    found = matched_lines(rows, KEY, text, percent, shingle, short)
+    return found.groupBy(F.col("doc").alias(KEY)).agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
 
 def line_report(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE, short: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_lines, n_removed, removed (line numbers from 0, comma-joined).
 
     A null or empty text has one empty line and loses nothing; an empty table gives an empty result.
+    Rows without an id come after all others. Rows that share an id are documents of their own, in
+    the order of the input.
     """
-    removed = _removed_numbers(documents, doc_id, text, percent, shingle, short)
+    rows = keyed(documents, doc_id)
+    removed = _removed_numbers(rows, text, percent, shingle, short)
     lines = F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).cast("long")
-    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
-    docs = documents.select(F.col(doc_id).alias("doc_id"), key.alias("doc"), lines.alias("n_lines"))
-    out = docs.join(removed, "doc", "left")
+    docs = rows.select(F.col(doc_id).alias("doc_id"), KEY, lines.alias("n_lines"))
+    out = docs.join(removed, KEY, "left")
     return out.select(
         "doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","), F.lit("")).alias("removed"),
@@ -207,9 +207,9 @@ def deduplicated_documents(documents: DataFrame, doc_id: str = "doc_id", text: s
 
     A document whose words are all in removed lines goes; texts that lose nothing are unchanged.
     """
-    removed = _removed_numbers(documents, doc_id, text, percent, shingle, short).withColumnRenamed("doc", "__doc").withColumnRenamed("removed", "__removed")
-    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
-    joined = documents.join(removed, key == F.col("__doc"), "left")
+    rows = keyed(documents, doc_id)
+    removed = _removed_numbers(rows, text, percent, shingle, short).withColumnRenamed("removed", "__removed")
+    joined = rows.join(removed, KEY, "left")
     kept = let(
         F.split(F.col(text), "\n"),
         lambda lines: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__removed")), lambda i: F.get(lines, i)), "\n"),

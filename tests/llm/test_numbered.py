@@ -112,6 +112,17 @@ def test_removed_lines_by_word_sets(spark, rows, monkeypatch, frequent_from):
     assert {(r["doc_id"], int(i)) for r in report for i in r["removed"].split(",") if i} == want
 
 
+def test_removed_lines_of_rows_that_share_an_id(spark):
+    a, b, c = "a b c d e f g h", "the own line of a row goes on", "here is one more line of words"
+    rows = [(None, f"{b} 1\n{a}"), (None, f"{c} 2\n{a}"), (7, f"x\n{c}"), (7, f"x\n{c}"), (None, "z\nz"), (3, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k))
+    gone = brute.removed_lines([(at, rows[k][1]) for at, k in enumerate(order)])
+    want = [(rows[k][0], ",".join(str(i) for d, i in sorted(gone) if d == at)) for at, k in enumerate(order)]
+    assert (None, "1") in want and (None, "") in want and (7, "1") in want and (7, "") in want
+    same(line_dedup.line_report(docs), want, "doc_id", "removed")
+
+
 def test_short_lines_are_compared_as_a_whole(spark):
     rows = [(1, "All rights reserved.\nown"), (2, "all  rights RESERVED.\n\n "), (3, "All rights\n\n"), (4, "own"), (5, None), (6, "a b c d e f"), (7, "a b c d e f")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -55,3 +55,24 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
             assert docs.count() == len(rows)
             words = sum(len(brute.space_words(t)) for _, t in rows)  # each source is rounded to a word
             assert abs(docs.agg({"taken": "sum"}).first()[0] - words) <= len({r["source"] for r in docs.collect()})
+
+
+def test_pipeline_stages_act_by_row(spark, sf_dir):
+    """Rows that share an id, or have none, are kept or dropped each by its own text."""
+    from pyspark.sql import functions as F
+
+    from curbstar.llm import quality
+
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    shared = F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 10)
+    docs = stored(given.withColumn("doc_id", shared), "test-shared-ids")
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    rows = [tuple(r) for r in given.select("doc_id", "text").collect()]
+    texts = lambda df: sorted(r["text"] or "" for r in df.collect())
+
+    kept = {r["doc_id"] for r in quality.judged_documents(given).filter("kept").collect()}
+    assert texts(corpus_pipeline.quality_rules(spark, docs, sf_dir)) == sorted(t or "" for d, t in rows if d in kept)
+    assert corpus_pipeline.near_copies(spark, docs, sf_dir).count() == sum(d == c for d, _, c in brute.linked(rows))
+    clean = {c[0] for c in brute.contamination(rows, items) if not c[5]}
+    assert texts(corpus_pipeline.benchmark_passages(spark, docs, sf_dir)) == sorted(t or "" for d, t in rows if d in clean)
+    assert corpus_pipeline.benchmark_passages(spark, docs, sf_dir).columns == docs.columns
