@@ -2,10 +2,11 @@
 
 A page is cut into blocks at block-level elements. Menus, headers, footers, sidebars, notices,
 adverts, forms, comments of readers, scripts and styles are left out by element, role, class or
-id. The first pass labels what is left: link-dense blocks are bad, blocks inside ``article`` or
-``main`` good, and on pages without these elements long blocks are good or bad by their share of
-function words, and short ones undecided. In the second pass an undecided block inherits the label
-of its nearest decided neighbour, the one before on equal distance; without any it is bad.
+id. The first pass labels what is left: link-dense blocks are bad, long blocks are good or bad by
+their share of function words, of which a block inside ``article`` or ``main`` needs less, and short
+ones are undecided. In the second pass an undecided block inherits the label of its nearest decided
+neighbour on its side of ``article`` or ``main``, the one before on equal distance; without any it is
+bad outside. Inside, where no block is good by its words, all that are not link-dense are good.
 
 Each page is handled on its own inside a task; there is no shuffle.
 """
@@ -26,6 +27,8 @@ from curbstar.llm.quality import FUNCTION_WORDS
 
 LONG_CHARS = 140
 GOOD_FUNCTION_SHARE = 0.15
+#: Inside ``article`` or ``main`` a long block is bad only below this share.
+LEAST_FUNCTION_SHARE = 0.03
 MOST_LINK_SHARE = 0.5
 
 # HTML's element kinds, and names by which pages mark what is not the article.
@@ -44,9 +47,13 @@ SKIP_NAMES = frozenset(
     "comment comments disqus respond replies share sharing social related recommended".split()
 )
 
+#: Containers of other texts: an ``article`` inside is a comment or a card, not the page's.
+HELD_NAMES = frozenset("comment comments disqus respond replies sidebar aside widget related recommended".split())
+
 _TAG = re.compile(r"<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[/!?a-zA-Z][^>]*(?:>|\Z)", re.S)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=[\s/=]|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
+_LETTERS = re.compile(r"[^\W\d_]+")
 _FUNCTION = frozenset(FUNCTION_WORDS)
 
 
@@ -72,11 +79,17 @@ def _marked(attributes: str) -> bool:
     return False
 
 
+def _held(attributes: str) -> bool:
+    """Whether a class or id begins with a name of ``HELD_NAMES``; ``with-sidebar`` names a layout."""
+    values = [html.unescape("".join(v)).lower() for name, *v in _NAMED.findall(attributes) if name.lower() != "role"]
+    return any(re.split(r"[^a-z0-9]+", token)[0] in HELD_NAMES for value in values for token in value.split())
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks outside skipped elements, white space made single spaces."""
     out: list[Block] = []
     pieces: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool]] = []  # open elements and whether they are skipped
+    stack: list[tuple[str, bool, bool]] = []  # open elements, whether they are skipped, and for good
     links = 0
     at, size = 0, len(page)
 
@@ -85,12 +98,12 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join("".join(t for t, _ in pieces).split())
             if text:
                 linked = sum(len("".join(t.split())) for t, in_link in pieces if in_link)
-                names = {name for name, _ in stack}
+                names = {name for name, *_ in stack}
                 out.append(Block(text, linked, bool(names & MAIN_TAGS), "li" in names))
             pieces.clear()
 
     def add(text: str) -> None:
-        if text and not any(skip for _, skip in stack):
+        if text and not any(skip for _, skip, _ in stack):
             pieces.append((html.unescape(text), links > 0))
 
     while at < size:
@@ -117,7 +130,7 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID_TAGS:
             continue
         if closing:
-            if any(name == open_name for open_name, _ in stack):
+            if any(name == open_name for open_name, *_ in stack):
                 if name in BLOCK_TAGS:
                     links = 0
                 while stack.pop()[0] != name:
@@ -127,40 +140,49 @@ def blocks_of(page: str) -> list[Block]:
             if stack and stack[-1][0] == "p" and name in BLOCK_TAGS:
                 stack.pop()
             if name in MAIN_TAGS and not _marked(tag[3]):
-                stack[:] = [(n, s and n in MAIN_TAGS) for n, s in stack]
-            in_main = any(n in MAIN_TAGS for n, _ in stack)
+                stack[:] = [(n, s and (n in MAIN_TAGS or (held and name != "main")), held) for n, s, held in stack]
+            in_main = any(n in MAIN_TAGS for n, *_ in stack)
             skip = name in SKIP_TAGS and not (name == "header" and in_main)
-            stack.append((name, skip or (name not in ("html", "body") and _marked(tag[3]))))
+            marked = name not in ("html", "body") and _marked(tag[3])
+            stack.append((name, skip or marked, marked and _held(tag[3])))
     close_block()
     return out
 
 
 def labelled(blocks: list[Block]) -> list[bool]:
     """Whether each block is main text."""
-    structured = any(b.in_main for b in blocks)
-    labels = [_first_label(b, structured) for b in blocks]
-    decided = [i for i, x in enumerate(labels) if x is not None]
-    out, k = [], 0
-    for i, label in enumerate(labels):
-        while k < len(decided) and decided[k] < i:
-            k += 1
-        if label is None:
-            near = [j for j in (decided[k - 1] if k else None, decided[k] if k < len(decided) else None) if j is not None]
-            label = labels[min(near, key=lambda j: abs(j - i))] if near else False
-        out.append(bool(label))
+    out = [False] * len(blocks)
+    for side in (True, False):
+        own = [i for i, b in enumerate(blocks) if b.in_main == side]
+        labels = {i: _first_label(blocks[i]) for i in own}
+        if side and True not in labels.values():
+            # No function words anywhere: another language or a table, of which density says nothing.
+            labels = {i: _linked(blocks[i]) <= MOST_LINK_SHARE for i in own}
+        decided = [i for i in own if labels[i] is not None]
+        k = 0
+        for i in own:
+            while k < len(decided) and decided[k] < i:
+                k += 1
+            label = labels[i]
+            if label is None:
+                near = decided[max(0, k - 1) : k + 1]
+                label = labels[min(near, key=lambda j: abs(j - i))] if near else side
+            out[i] = bool(label)
     return out
 
 
-def _first_label(block: Block, structured: bool) -> bool | None:
-    share = block.link_chars / max(1, len(block.text.replace(" ", "")))
-    if block.in_main:
-        return not (block.in_list and share > MOST_LINK_SHARE)
-    if structured or share > MOST_LINK_SHARE:
+def _linked(block: Block) -> float:
+    return block.link_chars / max(1, len(block.text.replace(" ", "")))
+
+
+def _first_label(block: Block) -> bool | None:
+    if _linked(block) > MOST_LINK_SHARE:
         return False
     if len(block.text) < LONG_CHARS:
         return None
-    words = block.text.lower().split()
-    return sum(w.strip(".,;:!?") in _FUNCTION for w in words) >= GOOD_FUNCTION_SHARE * len(words)
+    words = _LETTERS.findall(block.text.lower())
+    least = LEAST_FUNCTION_SHARE if block.in_main else GOOD_FUNCTION_SHARE
+    return sum(w in _FUNCTION for w in words) >= least * len(words)
 
 
 def main_text(page: str | None) -> tuple[str, int, int]:

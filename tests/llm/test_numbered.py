@@ -343,6 +343,22 @@ def test_main_text(page, text):
     assert main_text.main_text(page)[0] == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article><p>Teaser</p></article><div><p>{LONG}</p><p>{LONG}</p></div>", f"Teaser\n\n{LONG}\n\n{LONG}"),
+        (f"<article><p>{LONG}</p><p>Short.</p><p><a href=x>one link</a> <a href=y>two links</a></p></article><p>Outside</p>", f"{LONG}\n\nShort."),
+        (f"<article><p>{LONG}</p><p>{'Tag2024 ' * 30}</p></article>", LONG),
+        (f"<article><p>{LONG}</p></article><div class='comments'><article>{LONG}</article></div><div id='sidebar-left'><article>{LONG}</article></div>", LONG),
+        (f"<article><p>{'漢字' * 100}</p><p><a href=x>link</a></p></article>", "漢字" * 100),
+        (f"<div class='with-sidebar'><article><p>{LONG}</p></article></div>", LONG),
+        (f"<div class='sidebar'><main><p>{LONG}</p></main></div>", LONG),
+    ],
+)
+def test_main_text_by_all_signals(page, text):
+    assert main_text.main_text(page)[0] == text
+
+
 def test_extracted_pages(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     got = main_text.extracted_pages(pages)
