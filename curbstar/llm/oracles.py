@@ -1,8 +1,8 @@
 """DuckDB statements with the results of the numbered queries, where SQL can express them.
 
 They enumerate windows, shingles and pairs outright. There is none for tokens of a vocabulary
-(op1), for estimates and iterations over the corpus (op3, op9, the pipeline), for markup (op7) and
-for voting over templates (op10); ``tests/llm`` compares those with plain Python.
+(op1), for estimates and iterations over the corpus (op3, op9, the pipeline), for markup (op7),
+for voting over templates (op10) and for an approximate search (op11); ``tests/llm`` compares those with plain Python.
 """
 
 from __future__ import annotations
@@ -98,10 +98,47 @@ links AS MATERIALIZED (SELECT a, b FROM pairs WHERE 100 * common >= 80 * (n + m
 reach AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
 SELECT s.doc_id, len(s.s) AS n_shingles, min(reach.b) AS component_id FROM s JOIN reach ON s.doc_id = reach.a GROUP BY s.doc_id, len(s.s)"""
 
+NEGATIVES = """
+WITH e AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE) for x in embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+p AS (
+  SELECT * FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY s.score DESC, s.other_id)::INTEGER AS rank,
+  s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3"""
+
+RANKED = f"""
+WITH d AS (SELECT row_number() OVER () AS place, doc_id, {PLAIN} AS words FROM documents),
+i AS (SELECT row_number() OVER () AS item, item_id, list_distinct({PLAIN}) AS words FROM benchmark),
+c AS (SELECT count(*) AS documents, sum(len(words))::BIGINT AS terms FROM d WHERE len(words) > 0),
+tf AS (SELECT place, term, count(*) AS tf FROM (SELECT place, unnest(words) AS term FROM d) GROUP BY ALL),
+w AS (
+  SELECT term, floor(1000 * ln((2 * max(documents) + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, c GROUP BY term),
+m AS (SELECT place, doc_id, 100 - 90 + ((90 * len(words) * documents) // terms) AS m FROM d, c),
+s AS (
+  SELECT item, item_id, place, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM (SELECT item, item_id, unnest(words) AS term FROM i) JOIN tf USING (term) JOIN w USING (term) JOIN m USING (place)
+  GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0
+QUALIFY rank <= 10"""
+
 SQL: dict[str, str] = {
     "op2_weighted_mix": MIX,
     "op4_decontaminate": CONTAMINATION,
     "op5_warc_archive": ARCHIVE,
     "op6_line_dedup": LINES,
     "op8_ngram_join": LINKED,
+    "op12_hard_negatives": NEGATIVES,
+    "op13_lexical_search": RANKED,
 }

@@ -5,8 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from curbstar.llm import decontaminate, licenses, line_dedup, main_text, mixing, ngram_join, pii, quality, token_counts, warc
+from pyspark.sql import functions as F
+
+from curbstar.llm import (
+    decontaminate,
+    hnsw,
+    lexical,
+    licenses,
+    line_dedup,
+    main_text,
+    mixing,
+    negatives,
+    ngram_join,
+    pii,
+    quality,
+    token_counts,
+    warc,
+)
 from curbstar.llm.common import table
 
 
@@ -55,6 +70,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.search(hnsw.build_index(vectors), vectors.filter("vec_id % 20 = 0"), 20)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_weighted_mix": op2_weighted_mix,
@@ -66,4 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_license_scan": op10_license_scan,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_lexical_search": op13_lexical_search,
 }

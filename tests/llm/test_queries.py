@@ -10,8 +10,8 @@ from curbstar.llm.queries import QUERIES
 from curbstar.sources.scratch import stored
 
 
-def test_ten_queries_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_numbered_queries_are_registered():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
 
 
