@@ -38,9 +38,9 @@ from curbstar.sources.scratch import stored
 #: UTF-8 bytes of items in a block, which bounds what the driver and a broadcast hold.
 BLOCK_BYTES = 4_000_000
 #: Documents of a shard, and bytes of its table of impacts by document and term; the smaller counts.
-SHARD_DOCUMENTS, SHARD_BYTES = 8_192, 64_000_000
+SHARD_DOCUMENTS, SHARD_BYTES = 4_096, 32_000_000
 #: Documents of a block, on average, and of the longest list that is read whole.
-BLOCK_DOCUMENTS, SHORT_LIST = 128, 512
+BLOCK_DOCUMENTS, SHORT_LIST = 96, 256
 #: Components of the projection by which documents are compared.
 PROJECTION = 48
 #: Impacts in a summary are whole multiples of this, rounded up; the largest impact is 10**6.
@@ -121,7 +121,13 @@ def search(
     numbers = {term: i for i, term in enumerate(vocabulary)}
     asked = [(q, np.array([numbers[t] for t in terms], dtype=np.int64)) for q, terms in queries]
     sent = index.sparkSession.sparkContext.broadcast((asked, np.array(weights, dtype=np.int64)))
-    found = index.groupBy("shard").applyInArrow(lambda shard: _found(shard, *sent.value, k), FOUND)
+
+    def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from _found(pa.Table.from_batches([batch.slice(i, 1)]), *sent.value, k).to_batches()
+
+    found = index.mapInArrow(found_in, FOUND)
     best = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("item_id", "rank", "doc_id", "score")
@@ -190,7 +196,7 @@ def _shard(docs: pa.Table, weights: list[int]) -> pa.Table:
             order = np.argsort(nearest, kind="stable")
             own, nearest = own[order], nearest[order]
             first = np.flatnonzero(np.concatenate([[True], nearest[1:] != nearest[:-1]]))
-            summary = np.maximum.reduceat(table[own], first, axis=0)
+            summary = [table[members].max(axis=0) for members in np.split(own, first[1:])]
         block_terms += [term] * first.size
         block_sizes += np.diff(np.append(first, own.size)).tolist()
         block_docs.append(own)
@@ -198,7 +204,7 @@ def _shard(docs: pa.Table, weights: list[int]) -> pa.Table:
             block_summaries.append(-1)
         else:
             block_summaries += range(len(summaries), len(summaries) + first.size)
-            summaries += list(summary)
+            summaries += summary
     row = {
         "shard": [docs["shard"][0].as_py()],
         "doc_ids": [docs["doc_id"].to_pylist()],
