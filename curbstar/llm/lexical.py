@@ -38,9 +38,9 @@ from curbstar.sources.scratch import stored
 #: UTF-8 bytes of items in a block, which bounds what the driver and a broadcast hold.
 BLOCK_BYTES = 4_000_000
 #: Documents of a shard, and bytes of its table of impacts by document and term; the smaller counts.
-SHARD_DOCUMENTS, SHARD_BYTES = 4_096, 32_000_000
+SHARD_DOCUMENTS, SHARD_BYTES = 2_048, 16_000_000
 #: Documents of a block, on average, and of the longest list that is read whole.
-BLOCK_DOCUMENTS, SHORT_LIST = 96, 256
+BLOCK_DOCUMENTS, SHORT_LIST = 64, 192
 #: Components of the projection by which documents are compared.
 PROJECTION = 48
 #: Impacts in a summary are whole multiples of this, rounded up; the largest impact is 10**6.
