@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curbstar.llm.common import PLAIN_WORD_BYTES, pieces, plain_words
@@ -38,9 +38,9 @@ from curbstar.sources.scratch import stored
 #: UTF-8 bytes of items in a block, which bounds what the driver and a broadcast hold.
 BLOCK_BYTES = 4_000_000
 #: Documents of a shard, and bytes of its table of impacts by document and term; the smaller counts.
-SHARD_DOCUMENTS, SHARD_BYTES = 2_048, 16_000_000
+SHARD_DOCUMENTS, SHARD_BYTES = 4_096, 32_000_000
 #: Documents of a block, on average, and of the longest list that is read whole.
-BLOCK_DOCUMENTS, SHORT_LIST = 64, 192
+BLOCK_DOCUMENTS, SHORT_LIST = 64, 256
 #: Components of the projection by which documents are compared.
 PROJECTION = 48
 #: Impacts in a summary are whole multiples of this, rounded up; the largest impact is 10**6.
@@ -77,8 +77,11 @@ def ranked_documents(
         own = asked.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == i)
         queries = [(r["item_id"], sorted(set(plain_words(r["text"])))) for r in own.toLocalIterator()]
         vocabulary = sorted({term for _, terms in queries for term in terms})
-        index, weights = build_index(docs, vocabulary)
-        parts.append(search(index, [(q, terms) for q, terms in queries if terms], vocabulary, weights, k))
+        dealt, weights = _dealt(docs, vocabulary)
+        sent = _sent(dealt.sparkSession, [(q, terms) for q, terms in queries if terms], vocabulary, weights)
+        # Asked once, a shard's index lives in its task only.
+        found = dealt.groupBy("shard").applyInArrow(lambda own, sent=sent: _found(_shard(own, sent.value[1]), *sent.value, k), FOUND)
+        parts.append(_ranked(found, k))
     found = parts[0]
     for more in parts[1:]:
         found = found.unionByName(more)
@@ -87,7 +90,14 @@ def ranked_documents(
 
 def build_index(documents: DataFrame, vocabulary: list[bytes]) -> tuple[DataFrame, list[int]]:
     """The index of the documents' terms that are in the vocabulary, a stored row per shard (schema
-    ``INDEX``), and the weight of each term."""
+    ``INDEX``), and the weight of each term. For items that are not known yet, or asked again."""
+    dealt, weights = _dealt(documents, vocabulary)
+    sent = documents.sparkSession.sparkContext.broadcast(np.array(weights, dtype=np.int64))
+    return stored(dealt.groupBy("shard").applyInArrow(lambda own: _shard(own, sent.value), INDEX), "lexical-index"), weights
+
+
+def _dealt(documents: DataFrame, vocabulary: list[bytes]) -> tuple[DataFrame, list[int]]:
+    """Documents that hold terms of the vocabulary, with their shard and length measure; the terms' weights."""
     spark = documents.sparkSession
     numbers = spark.sparkContext.broadcast({term: i for i, term in enumerate(vocabulary)})
     forward = stored(documents.mapInArrow(_counted(numbers), FORWARD), "forward")
@@ -110,24 +120,31 @@ def build_index(documents: DataFrame, vocabulary: list[bytes]) -> tuple[DataFram
         "terms",
         "counts",
     )
-    sent = spark.sparkContext.broadcast(weights)
-    return stored(dealt.groupBy("shard").applyInArrow(lambda docs: _shard(docs, sent.value), INDEX), "lexical-index"), weights
+    return dealt, weights
 
 
 def search(
     index: DataFrame, queries: list[tuple[int | None, list[bytes]]], vocabulary: list[bytes], weights: list[int], k: int
 ) -> DataFrame:
     """(item_id, rank, doc_id, score) of the ``k`` best documents per query, a bounded list of (item_id, terms)."""
-    numbers = {term: i for i, term in enumerate(vocabulary)}
-    asked = [(q, np.array([numbers[t] for t in terms], dtype=np.int64)) for q, terms in queries]
-    sent = index.sparkSession.sparkContext.broadcast((asked, np.array(weights, dtype=np.int64)))
+    sent = _sent(index.sparkSession, queries, vocabulary, weights)
 
     def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 yield from _found(pa.Table.from_batches([batch.slice(i, 1)]), *sent.value, k).to_batches()
 
-    found = index.mapInArrow(found_in, FOUND)
+    return _ranked(index.mapInArrow(found_in, FOUND), k)
+
+
+def _sent(spark: SparkSession, queries: list[tuple[int | None, list[bytes]]], vocabulary: list[bytes], weights: list[int]):
+    """The queries by the terms' numbers, and the weights, as a broadcast."""
+    numbers = {term: i for i, term in enumerate(vocabulary)}
+    asked = [(q, np.array([numbers[t] for t in terms], dtype=np.int64)) for q, terms in queries]
+    return spark.sparkContext.broadcast((asked, np.array(weights, dtype=np.int64)))
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     best = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("item_id", "rank", "doc_id", "score")
@@ -173,9 +190,8 @@ def _flat(lists) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[0], np.cumsum(sizes)]), lists.flatten().to_numpy()
 
 
-def _shard(docs: pa.Table, weights: list[int]) -> pa.Table:
+def _shard(docs: pa.Table, weight: np.ndarray) -> pa.Table:
     """The index row of the documents of one shard."""
-    weight = np.array(weights, dtype=np.int64)
     offsets, terms = _flat(docs["terms"])
     counts = _flat(docs["counts"])[1].astype(np.int64)
     owner = np.repeat(np.arange(docs.num_rows), np.diff(offsets))

@@ -254,7 +254,7 @@ def test_blocks_are_skipped_without_loss(monkeypatch):
     weights = [math.floor(1000 * math.log((2 * len(docs) + 2) / (2 * sum(w in own for own in counted) + 1))) for w in vocabulary]
     ints = pa.list_(pa.int32())
     types = [pa.int32(), pa.int64(), pa.int64(), ints, ints]
-    shard = lexical._shard(pa.table({n: pa.array(v, t) for (n, v), t in zip(rows.items(), types)}), weights)
+    shard = lexical._shard(pa.table({n: pa.array(v, t) for (n, v), t in zip(rows.items(), types)}), np.array(weights))
     scored = []
     score = lexical._Lists._scores
     monkeypatch.setattr(lexical._Lists, "_scores", lambda self, docs: scored.append(docs.size) or score(self, docs))
