@@ -80,8 +80,7 @@ def ranked_documents(
         dealt, weights = _dealt(docs, vocabulary)
         sent = _sent(dealt.sparkSession, [(q, terms) for q, terms in queries if terms], vocabulary, weights)
         # Asked once, a shard's index lives in its task only.
-        found = dealt.groupBy("shard").applyInArrow(lambda own, sent=sent: _found(_shard(own, sent.value[1]), *sent.value, k), FOUND)
-        parts.append(_ranked(found, k))
+        parts.append(_ranked(dealt.groupBy("shard").applyInArrow(_indexed_and_found(sent, k), FOUND), k))
     found = parts[0]
     for more in parts[1:]:
         found = found.unionByName(more)
@@ -150,6 +149,13 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return ranked.select("item_id", "rank", "doc_id", "score")
 
 
+def _indexed_and_found(sent, k: int):
+    def indexed_and_found(docs: pa.Table) -> pa.Table:
+        return _found(_shard(docs, sent.value[1]), *sent.value, k)
+
+    return indexed_and_found
+
+
 def _counted(numbers):
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = numbers.value.get
