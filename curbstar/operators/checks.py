@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from curbstar.operators.profile import measure
 
 LOG = logging.getLogger(__name__)
+REPORT_SCHEMA = "check_name string, value double, threshold double, passed boolean"
 
 
 class DataQualityError(ValueError):
@@ -77,16 +78,18 @@ def union_reports(reports: Sequence[DataFrame]) -> DataFrame:
 def enforce(report: DataFrame) -> list[Row]:
     """Bring a report (a row per check) to the driver; raise at the first failed check."""
     rows = report.collect()
-    for row in rows:
-        if not row["passed"]:
-            raise DataQualityError(
-                f"Check {row['check_name']} failed: value {row['value']}, "
-                f"threshold {row['threshold']}"
-            )
-        LOG.info("Check %s passed: %s", row["check_name"], row["value"])
+    enforce_rows([(r["check_name"], r["value"], r["threshold"], r["passed"]) for r in rows])
     return rows
 
 
+def enforce_rows(rows: Sequence[tuple]) -> None:
+    """Raise at the first failed check of a report that is on the driver."""
+    for name, value, threshold, passed in rows:
+        if not passed:
+            raise DataQualityError(f"Check {name} failed: value {value}, threshold {threshold}")
+        LOG.info("Check %s passed: %s", name, value)
+
+
 @dataclass(frozen=True)
 class Statement:
     """A query whose records must all meet a condition.

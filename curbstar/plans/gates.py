@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +31,11 @@ def loaded_gate(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def table_checks(names: Iterable[str]) -> dict[str, list[C.Check]]:
+    """The checks of :func:`loaded_gate` by table, to be measured while each is written."""
+    return {name: [C.has_rows(f"{name}_has_rows")] for name in names if name in PRIMARY_KEYS}
+
+
 def key_gate(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Optional report: declared keys are unique."""
     report = C.primary_key_report(tables, PRIMARY_KEYS)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from curbstar.functions import codes, keys, times
 from curbstar.functions import values as V
 from curbstar.operators.keyed import one_row_per_key, union_distinct
-from curbstar.operators.latest import event_order, last_known
+from curbstar.operators.latest import event_order, last_known, last_state, merged_state, values_of
 from curbstar.sources import schemas as S
 from curbstar.sources.schemas import conform
 
@@ -80,26 +80,67 @@ def vehicle_dimension(stage2: DataFrame) -> DataFrame:
 
     Vehicles without a key are told apart by plate, state and plate type.
     """
-    identity = {
-        "plate_id": F.col("plate_id"),
-        "registration_state": F.col("registration_state"),
-        "plate_type": F.col("plate_type"),
-    }
     rows = last_known(
         stage2,
         keys=_vehicle_keys(),
         order=event_order(F.col("issue_date"), F.col("summons_number")),
-        latest={
-            "body_type": F.col("vehicle_body_type"),
-            "maker": F.col("vehicle_make"),
-            "expiration_date": F.col("vehicle_expiration_date"),
-            "color": F.col("vehicle_color"),
-            "make_year": F.col("vehicle_year"),
-        },
-        fixed=identity,
-    ).drop("_keyless")
+        latest=_vehicle_attributes(),
+        fixed={name: F.col(name) for name in VEHICLE_IDENTITY},
+    )
+    return _described_vehicles(rows)
+
+
+VEHICLE_IDENTITY = ("plate_id", "registration_state", "plate_type")
+# Column of the dimension → column of stage 2.
+VEHICLE_ATTRIBUTES = {
+    "body_type": "vehicle_body_type",
+    "maker": "vehicle_make",
+    "expiration_date": "vehicle_expiration_date",
+    "color": "vehicle_color",
+    "make_year": "vehicle_year",
+}
+VEHICLE_STATE_KEYS = ("id", "_keyless")
+
+
+def vehicle_state(stage2: DataFrame) -> DataFrame:
+    """Per vehicle the last known values with the citation that each comes from; states merge."""
+    return last_state(
+        stage2,
+        keys=_vehicle_keys(),
+        order=event_order(F.col("issue_date"), F.col("summons_number")),
+        latest=_vehicle_attributes(),
+        fixed={name: F.col(name) for name in VEHICLE_IDENTITY},
+    )
+
+
+def merged_vehicle_state(state: DataFrame, further: DataFrame) -> DataFrame:
+    """The state after the citations behind ``further``, older or newer than those known."""
+    return merged_state(state, further, VEHICLE_STATE_KEYS, list(VEHICLE_ATTRIBUTES), VEHICLE_IDENTITY)
+
+
+def vehicles_of(state: DataFrame) -> DataFrame:
+    """The vehicle dimension that a state stands for; no shuffle."""
+    return _described_vehicles(values_of(state, VEHICLE_STATE_KEYS, list(VEHICLE_ATTRIBUTES), VEHICLE_IDENTITY))
+
+
+def _vehicle_attributes() -> dict[str, Column]:
+    return {name: F.col(column) for name, column in VEHICLE_ATTRIBUTES.items()}
+
+
+def _described_vehicles(rows: DataFrame) -> DataFrame:
     defaults = {c: codes.or_unknown(F.col(c)) for c in ("body_type", "maker", "color")}
-    return conform(rows.withColumns(defaults), S.VEHICLE)
+    return conform(rows.drop("_keyless").withColumns(defaults), S.VEHICLE)
+
+
+def merged_dimensions(known: dict[str, DataFrame], further: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Dates, times and places of both; of places with one key, the smallest combination of attributes."""
+    places = known["location"].unionByName(further["location"])
+    attributes = [name for name in S.LOCATION.names if name != "id"]
+    return {
+        "date": known["date"].unionByName(further["date"]).distinct(),
+        "time": known["time"].unionByName(further["time"]).distinct(),
+        "location": one_row_per_key(places, "id", attributes),
+    }
 
 
 def _vehicle_keys() -> dict[str, Column]:

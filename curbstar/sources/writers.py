@@ -1,19 +1,18 @@
-"""Table loads: full refresh and append, always bound by name, and the log of whole runs."""
+"""Table loads: full refresh and append, always bound by name, and the versions of whole runs."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from curbstar.sources import files, manifest
 from curbstar.sources.schemas import conform
 
-RUN_LOG_SCHEMA = "run_id string, finished_at timestamp"
-
-
 def replace_table(
     df: DataFrame,
     path: str,
@@ -33,7 +32,7 @@ def replace_table(
         _load(df, beside, schema, "errorifexists", columns, partition_by)
         _take_place(df.sparkSession, beside, path)
     except BaseException:
-        _delete(df.sparkSession, beside)
+        files.delete(df.sparkSession, beside)
         raise
     return read_table(df.sparkSession, path, schema, tuple(partition_by or ()))
 
@@ -50,18 +49,30 @@ def append_table(
     return read_table(df.sparkSession, path, schema, tuple(partition_by or ()))
 
 
+def create_table(
+    df: DataFrame, path: str, schema: StructType, partition_by: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Write a new table at a path that nothing reads yet; arguments as in replace_table."""
+    _load(df, path, schema, "errorifexists", None, partition_by)
+    return read_table(df.sparkSession, path, schema, tuple(partition_by or ()))
+
+
 def read_table(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: StructType,
     directories: Sequence[str] = (),
     where: Column | None = None,
 ) -> DataFrame:
-    """The declared columns of a stored table, by name.
+    """The declared columns of a stored table, by name; of several folders, their rows together.
 
     ``where`` may use the directory columns named in ``directories``, and then other folders are
     not opened; the columns themselves are left out.
     """
+    if not isinstance(path, str):
+        # Folders with directory columns can't be opened together.
+        parts = [read_table(spark, folder, schema, directories, where) for folder in path]
+        return reduce(DataFrame.unionByName, parts)
     stored = spark.read.parquet(path)
     missing = [name for name in directories if name not in stored.columns]
     if missing:
@@ -72,52 +83,51 @@ def read_table(
 
 
 def record_run(spark: SparkSession, root: str, run_id: str) -> None:
-    """Note that all tables of a run are complete.
+    """Note that all tables of a run are complete, as the version after the newest.
 
-    Readers go through this log, so they see a whole run or the one before it, never a
+    Readers go through the versions, so they see a whole run or the one before it, never a
     table that is being replaced.
     """
-    row = spark.range(1).select(
-        F.lit(run_id).alias("run_id"), F.current_timestamp().alias("finished_at")
-    )
-    row.coalesce(1).write.mode("append").parquet(run_log_path(root))
+    newest = manifest.versions(spark, root)
+    manifest.commit(spark, root, newest[-1] if newest else 0, run_id)
 
 
 def latest_run(spark: SparkSession, root: str) -> str:
     """Id of the last complete run under ``root``."""
-    log, files = _files(spark, run_log_path(root))
-    if not files.exists(log):
+    newest = manifest.current(spark, root)
+    if newest is None:
         raise ValueError(f"No run under {root} is complete")
-    return _finished_runs(spark, root)[0]
+    return newest.run_id
 
 
 def expire_runs(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
-    """Delete the tables of all complete runs but the last ``keep``; the ids of those that went.
+    """Delete what the last ``keep`` versions don't name of the runs before them; the ids of runs that went.
 
-    At least the current run stays. Folders of runs that are not in the log are left alone, since
-    they may still be loading.
+    At least the current version stays, and with it the folders that it took over from earlier runs.
+    Folders of runs without a version are left alone, since they may still be loading.
     """
     if keep < 1:
         raise ValueError("The current run can't be expired")
+    found = manifest.versions(spark, root)
+    kept = [manifest.at_version(spark, root, v) for v in found[-keep:]]
+    needed = {folder for m in kept for folders in m.folders.values() for folder in folders}
+    whole = {m.run_id for m in kept}
     gone = []
-    for run_id in _finished_runs(spark, root)[keep:]:
-        folder, files = _files(spark, f"{root.rstrip('/')}/runs/{run_id}")
-        if files.exists(folder):
-            files.delete(folder, True)
+    for version in found[:-keep]:
+        run_id = manifest.at_version(spark, root, version).run_id
+        folder = f"runs/{run_id}"
+        own = [f"{folder}/{name}" for name in files.names(spark, f"{root.rstrip('/')}/{folder}")]
+        expired = [path for path in own if path not in needed]
+        if run_id in whole or not expired:
+            continue
+        if len(expired) == len(own):
+            expired = [folder]
             gone.append(run_id)
+        for path in expired:
+            files.delete(spark, f"{root.rstrip('/')}/{path}")
     return gone
 
 
-def _finished_runs(spark: SparkSession, root: str) -> list[str]:
-    """Ids in the run log, a row per load, the newest first."""
-    log = spark.read.schema(RUN_LOG_SCHEMA).parquet(run_log_path(root))
-    return [row["run_id"] for row in log.orderBy(F.desc("finished_at"), F.desc("run_id")).collect()]
-
-
-def run_log_path(root: str) -> str:
-    return f"{root.rstrip('/')}/run_log"
-
-
 def run_table_path(root: str, run_id: str, table: str) -> str:
     return f"{root.rstrip('/')}/runs/{run_id}/{table}"
 
@@ -146,26 +156,14 @@ def _load(
     writer.parquet(path)
 
 
-def _files(spark: SparkSession, path: str):
-    """Hadoop's path and its file system, whatever the store."""
-    hadoop = spark.sparkContext
-    own = hadoop._jvm.org.apache.hadoop.fs.Path(path)
-    return own, own.getFileSystem(hadoop._jsc.hadoopConfiguration())
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    own, files = _files(spark, path)
-    files.delete(own, True)
-
-
 def _take_place(spark: SparkSession, beside: str, path: str) -> None:
     """Move a complete table to ``path``; the one that was there goes last."""
     old = f"{path.rstrip('/')}.old-{uuid.uuid4().hex}"
-    target, files = _files(spark, path)
-    former, source = _files(spark, old)[0], _files(spark, beside)[0]
-    if files.exists(target) and not files.rename(target, former):
+    target, store = files.located(spark, path)
+    former, source = files.located(spark, old)[0], files.located(spark, beside)[0]
+    if store.exists(target) and not store.rename(target, former):
         raise OSError(f"{path} can't be moved")
-    if not files.rename(source, target):
-        files.rename(former, target)
+    if not store.rename(source, target):
+        store.rename(former, target)
         raise OSError(f"{beside} can't be moved to {path}")
-    files.delete(former, True)
+    store.delete(former, True)

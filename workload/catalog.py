@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from curbstar.functions import codes, dates, keys, times
 from curbstar.functions import values as V
 from curbstar.operators import checks, keyed, profile
+from curbstar.operators.digest import digest_report
 from curbstar.operators.lookup import (
     Lookup,
     ReadyLookup,
@@ -18,8 +19,9 @@ from curbstar.operators.lookup import (
     unmatched,
     unmatched_totals,
 )
+from curbstar.operators.observe import report_of
 from curbstar.plans import gates, questions, stage, star
-from curbstar.plans.load import JSON_PATHS, JsonRecords, LoadSettings, by_issue_year, load_star
+from curbstar.plans.load import JSON_PATHS, JsonRecords, LoadSettings, by_issue_year, load_batch, load_star, open_star
 from curbstar.sources import schemas as S
 from curbstar.sources.readers import read_columns
 from curbstar.sources.scratch import scratch_path, stored
@@ -203,6 +205,49 @@ def load_star_counts(spark, sf_dir):
     return checks.row_counts(loaded.tables)
 
 
+@query
+def load_observed_gates(spark, sf_dir):
+    """The gates of a whole load, as the writes of its tables measured them."""
+    root = scratch_path(spark, "warehouse")
+    loaded = load_star(spark, raw_files.all_files(spark, sf_dir), root, LoadSettings(AS_OF_YEAR))
+    return report_of(spark, loaded.report)
+
+
+@query
+def load_star_digests(spark, sf_dir):
+    """The content of each stored table: opened, read again, and compared with what the load measured."""
+    root = scratch_path(spark, "warehouse")
+    load_star(spark, raw_files.all_files(spark, sf_dir), root, LoadSettings(AS_OF_YEAR, by_issue_year()))
+    tables = open_star(spark, root, verify=True).tables
+    return digest_report({name: tables[name] for name in S.STAR})
+
+
+def _batches(spark: SparkSession, sf_dir: str) -> list[dict]:
+    """The raw files with the citations in two parts that overlap in time, the later one first."""
+    files = raw_files.all_files(spark, sf_dir)
+    early = F.coalesce(F.year("issue_date") < 1998, F.lit(False)) | (F.crc32("summons_number") % 5 == 0)
+    return [files | {"stage_violation": raw_files.citations_file(spark, sf_dir, ";", part)} for part in (~early, early)]
+
+
+@query
+def load_batches_vehicle(spark, sf_dir):
+    """Vehicles after a second batch of older citations was merged into the stored state."""
+    root = scratch_path(spark, "warehouse")
+    for files in _batches(spark, sf_dir):
+        loaded = load_batch(spark, files, root, LoadSettings(AS_OF_YEAR))
+    return loaded.tables["vehicle"]
+
+
+@query
+def load_batches_digests(spark, sf_dir):
+    """The content of the star after two batches; the same as of one load."""
+    root = scratch_path(spark, "warehouse")
+    for files in _batches(spark, sf_dir):
+        load_batch(spark, files, root, LoadSettings(AS_OF_YEAR, by_issue_year()))
+    tables = open_star(spark, root, verify=True).tables
+    return digest_report({name: tables[name] for name in S.STAR})
+
+
 # --- Predicates and scalars ---------------------------------------------------------------
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbstar.sources.schemas import STAGE_VIOLATION, STAGING, conform
@@ -140,9 +140,11 @@ def raw_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(RAW_DATES, stage_violation=staging_table(spark, sf_dir, "stage_violation"))
 
 
-def raw_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_citations(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """All 43 columns in file order with dates as text; columns not derived are null."""
     rows = raw_dates(spark, sf_dir)
+    if where is not None:
+        rows = rows.filter(where)
     texts = {
         "issue_date": F.col("mixed_date_text"),
         "vehicle_expiration_date": F.col("expiration_date_text"),

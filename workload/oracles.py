@@ -8,7 +8,7 @@ sides share the input text and little else.
 from __future__ import annotations
 
 from curbstar.functions import values as V
-from curbstar.sources.schemas import PRIMARY_KEYS, REFERENCES
+from curbstar.sources.schemas import PRIMARY_KEYS, REFERENCES, STAR
 from workload import fixtures
 
 AS_OF_YEAR = 2020
@@ -403,6 +403,15 @@ FROM violation f LEFT JOIN "{table}" d ON f.{fact_key} = d.{key} GROUP BY ALL"""
     return text + (f" ORDER BY n DESC, {order} LIMIT {limit}" if limit else "")
 
 
+def _digest(table: str, columns: list[str]) -> str:
+    """Count and two sums of row hashes, whatever the order of rows."""
+    texts = [f"CAST({c} AS VARCHAR)" for c in columns]
+    row = " || ".join(f"coalesce(length({t}) || ':' || {t}, '-')" for t in texts)
+    sums = [f"CAST(coalesce(sum(('0x' || substr(h, {start}, 15))::BIGINT), 0) AS VARCHAR)" for start in (1, 16)]
+    return f"""SELECT '{table}' AS table_name, count(*) AS row_count, {sums[0]} AS sum_a, {sums[1]} AS sum_b
+FROM (SELECT md5({row}) AS h FROM "{table}")"""
+
+
 def all_statements() -> dict[str, str]:
     sv = SV
     out: dict[str, str] = {}
@@ -448,6 +457,12 @@ GROUP BY ALL""",
         *_STAR,
     )
 
+    out["load_observed_gates"] = statement(_all(_RAW_CHECKS + _LOADED_CHECKS), *SV, *_STAR)
+    digests = _all([_digest(name, STAR[name].names) for name in _STAR])
+    out["load_star_digests"] = statement(digests, *_STAR)
+    out["load_batches_vehicle"] = statement("SELECT * FROM vehicle", "vehicle")
+    out["load_batches_digests"] = out["load_star_digests"]
+
     # Predicates and scalars
     out["filter_plate_not_null"] = statement(
         "SELECT summons_number, plate_id FROM stage_violation WHERE NOT (plate_id IS NULL)", *sv

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbstar.plans.load import JSON_PATHS, Delimited, JsonRecords
@@ -28,8 +28,8 @@ def write_json(df: DataFrame, table: str) -> str:
     return path
 
 
-def citations_file(spark: SparkSession, sf_dir: str, sep: str) -> Delimited:
-    raw = fixtures.raw_citations(spark, sf_dir)
+def citations_file(spark: SparkSession, sf_dir: str, sep: str, where: Column | None = None) -> Delimited:
+    raw = fixtures.raw_citations(spark, sf_dir, where)
     return Delimited(write_delimited(raw, sep, "citations"), sep, any_date=True)
 
 
