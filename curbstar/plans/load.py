@@ -163,7 +163,7 @@ class _Run:
     def commit(self, based_on: int, folders: Mapping[str, list[str]], digests: Mapping[str, dict[str, str]]) -> LoadedStar:
         made = manifest.commit(self.spark, self.root, based_on, self.run_id, folders, digests)
         opened = open_star(self.spark, self.root, version=made.version)
-        return LoadedStar(self.run_id, opened.tables, made.version, self.report)
+        return LoadedStar(self.run_id, {name: opened.tables[name] for name in STAR}, made.version, self.report)
 
 
 def load_star(
