@@ -42,7 +42,7 @@ class Delimited:
     sep: str = ","
     any_date: bool = False
     mode: str = "FAILFAST"
-    multiline: bool = False
+    multiline: bool | Literal["split"] = False
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return read_delimited(
@@ -63,7 +63,7 @@ class JsonRecords:
     path: str | list[str]
     paths: Sequence[str] | None = None
     path_list: str | None = None
-    layout: Literal["lines", "array"] = "array"
+    layout: Literal["lines", "array", "split_array"] = "array"
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         paths = self.paths or JSON_PATHS[table]

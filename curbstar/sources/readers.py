@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from curbstar.functions.dates import ANY_DATE_FORMATS, parse_any_date
+from curbstar.sources.records import array_records, quoted_records
 
 
 def read_delimited(
@@ -21,29 +22,28 @@ def read_delimited(
     any_date: bool = False,
     date_formats: Sequence[str] = ANY_DATE_FORMATS,
     mode: str = "FAILFAST",
-    multiline: bool = False,
+    multiline: bool | Literal["split"] = False,
 ) -> DataFrame:
     """Delimited text with one header line; fields bind to ``schema`` by position.
 
     A field in double quotes may hold the separator, and quotes written twice; a backslash is a
     plain character. ``multiline=True`` also allows line breaks inside quotes, and then a file
-    is read by one task. A bad number in a column that is not selected may go unseen, since only
+    is read by one task; ``multiline="split"`` allows them in a file that many tasks read. A bad number in a column that is not selected may go unseen, since only
     selected columns are converted.
 
     ``any_date=True`` reads dates in any of ``date_formats`` and turns any other text into
     null. No other conversion is tolerant unless ``mode`` says so. An empty field is null.
     The files stay splittable, so one large file is read by many tasks.
     """
-    reader = _delimited(spark, sep, multiline).option("mode", mode)
     if not any_date:
-        return reader.schema(schema).csv(path)
+        return _delimited_rows(spark, path, schema, sep, mode, multiline)
     as_text = StructType(
         [
             StructField(f.name, StringType() if isinstance(f.dataType, DateType) else f.dataType)
             for f in schema
         ]
     )
-    raw = reader.schema(as_text).csv(path)
+    raw = _delimited_rows(spark, path, as_text, sep, mode, multiline)
     return raw.select(
         *[
             parse_any_date(F.col(f.name), date_formats).alias(f.name)
@@ -54,6 +54,17 @@ def read_delimited(
     )
 
 
+def _delimited_rows(
+    spark: SparkSession, path: str | list[str], schema: StructType, sep: str, mode: str, multiline: bool | Literal["split"]
+) -> DataFrame:
+    if multiline != "split":
+        return _delimited(spark, sep, multiline).option("mode", mode).schema(schema).csv(path)
+    records = quoted_records(spark, path).filter(~F.col("first"))
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": mode}
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    return records.select(F.from_csv("text", ddl, options).alias("record")).select("record.*")
+
+
 def read_columns(
     spark: SparkSession,
     path: str | list[str],
@@ -79,13 +90,13 @@ def read_json_paths(
     path: str | list[str],
     paths: Sequence[str],
     schema: StructType,
-    layout: Literal["lines", "array"] = "lines",
+    layout: Literal["lines", "array", "split_array"] = "lines",
 ) -> DataFrame:
     """JSON records to ``schema``: the n-th path fills the n-th column.
 
     A path is ``$['Class Code']``, ``$.code`` or a nesting of these. ``lines`` is one record
     per line and splittable. ``array`` is one pretty-printed array per file, which one task
-    must read whole, so it is meant for lookups.
+    must read whole, so it is meant for lookups; ``split_array`` is an array that many tasks read.
     """
     if len(paths) != len(schema):
         raise ValueError(f"{len(paths)} paths for {len(schema)} columns")
@@ -93,7 +104,12 @@ def read_json_paths(
     wanted = StructType()
     for names, field in zip(steps, schema):
         wanted = _with_field(wanted, names, field)
-    raw = spark.read.schema(wanted).json(path, multiLine=layout == "array", mode="FAILFAST")
+    if layout == "split_array":
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted)
+        record = F.from_json("text", ddl, {"mode": "FAILFAST"})
+        raw = array_records(spark, path).select(record.alias("record")).select("record.*")
+    else:
+        raw = spark.read.schema(wanted).json(path, multiLine=layout == "array", mode="FAILFAST")
     return raw.select(
         *[_nested(names).alias(field.name) for names, field in zip(steps, schema)]
     )

@@ -23,7 +23,7 @@ from curbstar.operators.observe import report_of
 from curbstar.plans import gates, questions, stage, star
 from curbstar.plans.load import JSON_PATHS, JsonRecords, LoadSettings, by_issue_year, load_batch, load_star, open_star
 from curbstar.sources import schemas as S
-from curbstar.sources.readers import read_columns
+from curbstar.sources.readers import read_columns, read_json_paths
 from curbstar.sources.scratch import scratch_path, stored
 from curbstar.sources.writers import append_table, replace_table
 from workload import fixtures, raw_files
@@ -155,6 +155,41 @@ def src_json_paths(spark, sf_dir):
     return reduce(DataFrame.unionAll, [read(table) for table in JSON_PATHS])
 
 
+@query
+def src_csv_multiline(spark, sf_dir):
+    """One file with line breaks in quoted fields, cut into records by many tasks."""
+    raw = raw_files.with_line_breaks(fixtures.raw_citations(spark, sf_dir)).coalesce(1)
+    path = raw_files.write_delimited(raw, ";", "multiline")
+    rows = raw_files.Delimited(path, ";", any_date=True, multiline="split").read(spark, "stage_violation")
+    return rows.select(*PROFILE_COLUMNS)
+
+
+@query
+def src_json_array(spark, sf_dir):
+    """One large array of records over several lines, cut by many tasks."""
+    columns = ["summons_number", "plate_id", "violation_code", "street_name"]
+    rows = raw_files.with_line_breaks(_citations(spark, sf_dir)).select(*columns)
+    path = raw_files.write_json_array(rows, "citations")
+    schema = S.StructType([S.STAGE_VIOLATION[name] for name in columns])
+    return read_json_paths(spark, path, [f"$.{name}" for name in columns], schema, "split_array")
+
+
+@query
+def src_json_path_list(spark, sf_dir):
+    """The code tables as arrays, by the record paths that a file lists."""
+
+    def read(table: str) -> DataFrame:
+        rows = raw_files.with_raw_names(fixtures.staging_table(spark, sf_dir, table), table)
+        path = raw_files.write_json_array(rows, table)
+        listed = JsonRecords(path, path_list=raw_files.write_path_list(spark, table), layout="split_array")
+        names = S.STAGING[table].names
+        return listed.read(spark, table).select(
+            F.lit(table).alias("table_name"), "code", F.col(names[1]).alias("description")
+        )
+
+    return reduce(DataFrame.unionAll, [read(table) for table in JSON_PATHS])
+
+
 @query
 def src_csv_usecols(spark, sf_dir):
     rows = _citations(spark, sf_dir)

@@ -443,6 +443,12 @@ GROUP BY ALL""",
         ),
         *json_tables,
     )
+    broken = "replace(street_name, ' ', chr(10)) AS street_name"
+    out["src_csv_multiline"] = statement(f"SELECT * REPLACE ({broken}) FROM ({_SELECT_STAGE})", *sv)
+    out["src_json_array"] = statement(
+        f"SELECT summons_number, plate_id, violation_code, {broken} FROM stage_violation", *sv
+    )
+    out["src_json_path_list"] = out["src_json_paths"]
     out["src_csv_usecols"] = statement(
         "SELECT summons_number, plate_id, vehicle_make FROM stage_violation", *sv
     )

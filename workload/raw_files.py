@@ -19,15 +19,42 @@ def write_delimited(df: DataFrame, sep: str, purpose: str) -> str:
     return path
 
 
+def with_raw_names(df: DataFrame, table: str) -> DataFrame:
+    """A code table under its raw field names."""
+    names = [path_steps(text)[0] for text in JSON_PATHS[table]]
+    return df.select(*[F.col(column).alias(name) for column, name in zip(STAGING[table].names, names)])
+
+
 def write_json(df: DataFrame, table: str) -> str:
     """Records under their raw field names, one per line."""
     path = scratch_path(df.sparkSession, table)
-    names = [path_steps(text)[0] for text in JSON_PATHS[table]]
-    pairs = zip(STAGING[table].names, names)
-    df.select(*[F.col(column).alias(name) for column, name in pairs]).write.json(path)
+    with_raw_names(df, table).write.json(path)
     return path
 
 
+def write_json_array(df: DataFrame, purpose: str) -> str:
+    """All records as one array in one file, each over several lines."""
+    path = scratch_path(df.sparkSession, purpose)
+    record = F.to_json(F.struct(*df.columns), {"pretty": "true"})
+    rows = df.coalesce(1).select(record.alias("text"), F.monotonically_increasing_id().alias("place"))
+    rows = rows.select(F.concat(F.when(F.col("place") == 0, "[").otherwise(","), F.col("text")).alias("text"))
+    end = df.sparkSession.range(1).select(F.lit("]").alias("text"))
+    rows.union(end).coalesce(1).write.text(path)
+    return path
+
+
+def write_path_list(spark: SparkSession, table: str) -> str:
+    """A file that lists the record paths of a code table."""
+    path = scratch_path(spark, "paths")
+    spark.range(1).select(F.array(*[F.lit(p) for p in JSON_PATHS[table]]).alias("jsonpaths")).coalesce(1).write.json(path)
+    return path
+
+
+def with_line_breaks(df: DataFrame) -> DataFrame:
+    """Street names over several lines."""
+    return df.withColumn("street_name", F.replace("street_name", F.lit(" "), F.lit("\n")))
+
+
 def citations_file(spark: SparkSession, sf_dir: str, sep: str, where: Column | None = None) -> Delimited:
     raw = fixtures.raw_citations(spark, sf_dir, where)
     return Delimited(write_delimited(raw, sep, "citations"), sep, any_date=True)
