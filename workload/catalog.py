@@ -648,7 +648,9 @@ def non_null_percentage_literal(spark, sf_dir):
 
 @query
 def value_counts(spark, sf_dir):
-    return profile.value_counts(_citations(spark, sf_dir), VALUE_COLUMNS)
+    """Frequencies of codes, and of agencies by their description."""
+    rows = _described(spark, sf_dir, "issuing_agency", "agency").withColumnRenamed("_agency", "agency")
+    return profile.value_counts(rows, VALUE_COLUMNS)
 
 
 @query
@@ -680,6 +682,9 @@ def profile_sentinel(spark, sf_dir):
         "issuer_precinct": zero,
         "date_first_observed": F.lit(V.ZERO_DATE),
         "vehicle_year": zero,
+        "issuer_code": zero,
+        "feet_from_curb": zero,
+        "unregistered_vehicle": zero.cast("string"),
     }
     return profile.sentinel_counts(_citations(spark, sf_dir), sentinels)
 

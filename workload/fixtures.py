@@ -48,7 +48,22 @@ SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-'
   CASE WHEN k%19=0 THEN NULL ELSE substr('abcdef',CAST(k%6+1 AS INT),1) END AS sub_division,
   'C' || CAST(k%9 AS STRING) AS vehicle_color,
   CAST(1850+k%200 AS INT) AS vehicle_year,
-  CASE WHEN l_suppkey%10=0 THEN NULL ELSE CAST(l_suppkey%10 AS STRING) END AS violation_location
+  CASE WHEN l_suppkey%10=0 THEN NULL ELSE CAST(l_suppkey%10 AS STRING) END AS violation_location,
+  CASE WHEN k%29=0 THEN NULL WHEN k%6=0 THEN 0 ELSE CAST(300000+l_suppkey AS INT) END AS issuer_code,
+  CASE WHEN k%31=0 THEN NULL ELSE 'T' || lpad(CAST(l_suppkey%400 AS STRING),3,'0') END AS issuer_command,
+  CASE WHEN k%6=0 THEN NULL WHEN k%37=0 THEN '0000' ELSE substr('ABCDEFG',CAST(k%7+1 AS INT),1) END AS issuer_squad,
+  CASE WHEN k%8=0 THEN 'T' WHEN k%59=0 THEN 'N' END AS violation_legal_code,
+  CASE k%5 WHEN 0 THEN 'YYYYYYY' WHEN 1 THEN 'BBBBBYB' WHEN 2 THEN 'Y Y Y' END AS days_parking_in_effect,
+  CASE WHEN k%9=0 THEN 'ALL' WHEN k%4=0 THEN '0' || CAST(k%3+7 AS STRING) || '00A' END AS from_hours_in_effect,
+  CASE WHEN k%9=0 THEN 'ALL' WHEN k%4=0 THEN '0' || CAST(k%3+4 AS STRING) || '30P' END AS to_hours_in_effect,
+  CASE WHEN k%10=0 THEN '0' WHEN k%83=0 THEN '1' END AS unregistered_vehicle,
+  CASE WHEN k%15=0 THEN CAST(l_partkey%97 AS STRING) || '-' || lpad(CAST(k%1000 AS STRING),4,'0') WHEN k%16=0 THEN '-' END AS meter_number,
+  CASE WHEN k%43=0 THEN NULL ELSE CAST(k%5 AS INT) END AS feet_from_curb,
+  CASE WHEN k%3=0 THEN lpad(CAST(k%90 AS STRING),2,'0') END AS violation_post_code,
+  CASE WHEN k%12=0 THEN NULL ELSE CAST(l_partkey%50+1 AS STRING) || '-No Standing' END AS violation_description,
+  CASE WHEN k%503=0 THEN 'Y' END AS no_standing_or_stopping_violation,
+  CASE WHEN k%509=0 THEN 'Y' END AS hydrant_violation,
+  CASE WHEN k%521=0 THEN 'Y' END AS double_parking_violation
 FROM (SELECT /*+ MERGE(o) */ l.*, o.o_custkey, o.o_orderpriority, l_orderkey*7+l_linenumber*3+l_partkey AS k,
              CAST(CAST(CAST(l_shipdate AS DATE) - INTERVAL 1 DAY AS DATE) AS STRING) AS dfo
       FROM {lineitem} l JOIN {orders} o ON l_orderkey=o_orderkey) q
@@ -141,7 +156,7 @@ def raw_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_citations(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
-    """All 43 columns in file order with dates as text; columns not derived are null."""
+    """All 43 columns in file order with dates as text."""
     rows = raw_dates(spark, sf_dir)
     if where is not None:
         rows = rows.filter(where)
@@ -150,21 +165,10 @@ def raw_citations(spark: SparkSession, sf_dir: str, where: Column | None = None)
         "vehicle_expiration_date": F.col("expiration_date_text"),
     }
 
-    def column(field):
-        if field.name in texts:
-            return texts[field.name].alias(field.name)
-        if field.name in rows.columns:
-            return F.col(field.name)
-        return F.lit(None).cast(field.dataType).alias(field.name)
-
-    return rows.select(*[column(field) for field in STAGE_VIOLATION])
+    return rows.select(*[texts.get(name, F.col(name)).alias(name) for name in STAGE_VIOLATION.names])
 
 
 def full_staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The staging tables with every declared column."""
+    """The staging tables in declared order."""
     tables = staging(spark, sf_dir)
-    rows = tables["stage_violation"]
-    absent = [field for field in STAGE_VIOLATION if field.name not in rows.columns]
-    rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
-    tables["stage_violation"] = rows
     return {name: conform(tables[name], STAGING[name]) for name in STAGING}

@@ -8,7 +8,7 @@ sides share the input text and little else.
 from __future__ import annotations
 
 from curbstar.functions import values as V
-from curbstar.sources.schemas import PRIMARY_KEYS, REFERENCES, STAR
+from curbstar.sources.schemas import PRIMARY_KEYS, REFERENCES, STAGE_VIOLATION, STAR
 from workload import fixtures
 
 AS_OF_YEAR = 2020
@@ -90,6 +90,12 @@ _PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 _LOOKUPS = tuple(name for name in fixtures.SQL if name != "stage_violation")
 _PARTS["raw_dates"] = (fixtures.duckdb_text(fixtures.RAW_DATES), ("stage_violation",))
+_PARTS["described"] = (
+    """
+SELECT v.*, (SELECT a.agency FROM stage_issuing_agency a WHERE upper(a.code) = upper(v.issuing_agency)) AS agency
+FROM stage_violation v""",
+    ("stage_violation", "stage_issuing_agency"),
+)
 _PARTS["stage2"] = (_stage2(False), ("stage_violation", *_LOOKUPS))
 _PARTS["stage2_literal"] = (_stage2(True), ("stage_violation", *_LOOKUPS))
 _PARTS["clock"] = (
@@ -215,7 +221,14 @@ FROM stage_violation v""",
 STAGE = "stage_violation"
 SV = ("stage_violation",)
 
-VALUE_COLUMNS = ["violation_in_front_of_or_opposite", "law_section", "sub_division", "issuing_agency"]
+VALUE_COLUMNS = [
+    "violation_in_front_of_or_opposite",
+    "law_section",
+    "sub_division",
+    "issuing_agency",
+    "violation_legal_code",
+    "agency",
+]
 DISTINCT_COLUMNS = [
     "registration_state",
     "plate_type",
@@ -235,7 +248,15 @@ DISTINCT_COLUMNS = [
     "date_first_observed",
     "law_section",
     "sub_division",
+    "violation_legal_code",
+    "days_parking_in_effect",
     "vehicle_color",
+    "unregistered_vehicle",
+    "meter_number",
+    "feet_from_curb",
+    "no_standing_or_stopping_violation",
+    "hydrant_violation",
+    "double_parking_violation",
 ]
 VEHICLE_ATTRIBUTES = [
     "plate_id",
@@ -245,38 +266,10 @@ VEHICLE_ATTRIBUTES = [
     "vehicle_make",
     "vehicle_color",
     "vehicle_year",
+    "unregistered_vehicle",
 ]
 DUPLICATE_COLUMNS = ["summons_number", "plate_id", "registration_state", "plate_type"]
-PROFILE_COLUMNS = [
-    "summons_number",
-    "plate_id",
-    "registration_state",
-    "plate_type",
-    "issue_date",
-    "violation_code",
-    "vehicle_body_type",
-    "vehicle_make",
-    "issuing_agency",
-    "street_code1",
-    "street_code2",
-    "street_code3",
-    "vehicle_expiration_date",
-    "violation_precinct",
-    "issuer_precinct",
-    "violation_time",
-    "time_first_observed",
-    "violation_county",
-    "violation_in_front_of_or_opposite",
-    "house_number",
-    "street_name",
-    "intersecting_street",
-    "date_first_observed",
-    "law_section",
-    "sub_division",
-    "vehicle_color",
-    "vehicle_year",
-    "violation_location",
-]
+PROFILE_COLUMNS = STAGE_VIOLATION.names
 # Column of the citations → (lookup table, key, description, case folded).
 CODE_TABLES = {
     "registration_state": ("stage_state", "state_code", "description", True),
@@ -638,9 +631,9 @@ UNION SELECT street_code2 FROM stage_violation UNION SELECT street_code3 FROM st
         _long({c: f"count({c}) // count(*) * 100 AS percentage" for c in gated}, STAGE), *sv
     )
     out["value_counts"] = statement(
-        f"""SELECT column_name, value, count(*) AS n FROM ({_values(VALUE_COLUMNS, STAGE)})
+        f"""SELECT column_name, value, count(*) AS n FROM ({_values(VALUE_COLUMNS, "described")})
 WHERE value IS NOT NULL GROUP BY ALL""",
-        *sv,
+        "described",
     )
     out["distinct_values"] = statement(
         f"SELECT DISTINCT column_name, value FROM ({_values(DISTINCT_COLUMNS, STAGE)})", *sv
@@ -668,6 +661,9 @@ WHERE value IS NOT NULL GROUP BY ALL""",
         "issuer_precinct": "issuer_precinct = 0",
         "date_first_observed": "date_first_observed = '0'",
         "vehicle_year": "vehicle_year = 0",
+        "issuer_code": "issuer_code = 0",
+        "feet_from_curb": "feet_from_curb = 0",
+        "unregistered_vehicle": "unregistered_vehicle = '0'",
     }
     out["profile_sentinel"] = statement(
         _long(
