@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,10 +23,12 @@ from curbstar.operators.lookup import (
 from curbstar.operators.observe import report_of
 from curbstar.plans import gates, questions, stage, star
 from curbstar.plans.load import JSON_PATHS, JsonRecords, LoadSettings, by_issue_year, load_batch, load_star, open_star
+from curbstar.sources import files
 from curbstar.sources import schemas as S
 from curbstar.sources.readers import read_columns, read_json_paths
-from curbstar.sources.scratch import scratch_path, stored
-from curbstar.sources.writers import append_table, replace_table
+from curbstar.sources.schemas import conform
+from curbstar.sources.scratch import scratch_path
+from curbstar.sources.writers import append_table, create_table, replace_table
 from workload import fixtures, raw_files
 from workload.oracles import (
     AS_OF_YEAR,
@@ -55,10 +58,37 @@ def _citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.staging_table(spark, sf_dir, "stage_violation")
 
 
+_STORED: dict[tuple[SparkSession, str, str], tuple[str, dict]] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, purpose: str, make: Callable[[str], dict]) -> dict:
+    """What ``make`` stored below a scratch folder, once per session and as long as the folder is there."""
+    path, made = _STORED.get((spark, sf_dir, purpose), ("", {}))
+    if not path or not files.exists(spark, path):
+        path = scratch_path(spark, purpose)
+        made = make(path)
+        _STORED[spark, sf_dir, purpose] = path, made
+    return made
+
+
+def _lookup_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The code tables, stored: a lookup is measured before it is joined and so is read twice."""
+    names = [entry[0] for entry in CODE_TABLES.values()]
+
+    def make(path: str) -> dict[str, DataFrame]:
+        def write(name: str) -> DataFrame:
+            df = fixtures.staging_table(spark, sf_dir, name)
+            return create_table(conform(df, S.STAGING[name]), f"{path}/{name}", S.STAGING[name])
+
+        with ThreadPoolExecutor(max_workers=len(names)) as pool:
+            return dict(zip(names, pool.map(write, names)))
+
+    return _once(spark, sf_dir, "lookups", make)
+
+
 def _lookup(spark: SparkSession, sf_dir: str, column: str, fold_case: bool = True) -> Lookup:
     table, key, _, folds = CODE_TABLES[column]
-    rows = fixtures.staging_table(spark, sf_dir, table)
-    return Lookup(table, rows, key, fold_case and folds)
+    return Lookup(table, _lookup_tables(spark, sf_dir)[table], key, fold_case and folds)
 
 
 def _ready(spark: SparkSession, sf_dir: str, column: str, fold_case: bool = True) -> ReadyLookup:
@@ -67,39 +97,32 @@ def _ready(spark: SparkSession, sf_dir: str, column: str, fold_case: bool = True
 
 
 def _stage2(spark: SparkSession, sf_dir: str, literal: bool = False) -> DataFrame:
-    tables = fixtures.staging(spark, sf_dir)
-    ready = prepare_lookups(stage.lookups(tables))
-    return stage.stage2_violation(tables["stage_violation"], ready, AS_OF_YEAR, literal)
-
-
-# What the keys of the star are made of.
-_VEHICLE_KEY = ("plate_id", "registration_state", "plate_type")
-_ALL_KEYS = (
-    "summons_number",
-    "issue_date",
-    "date_first_observed",
-    "violation_code",
-    "violation_time",
-    "time_first_observed",
-    *_VEHICLE_KEY,
-    *star.PLACE_COLUMNS,
-)
+    """Stage 2 from the citations; they are the only scan besides the stored lookups."""
+    ready = prepare_lookups(stage.lookups(_lookup_tables(spark, sf_dir)))
+    return stage.stage2_violation(_citations(spark, sf_dir), ready, AS_OF_YEAR, literal)
 
 
-def star_tables(
-    spark: SparkSession, sf_dir: str, columns: Sequence[str] = S.STAGE2_VIOLATION.names
-) -> dict[str, DataFrame]:
-    """The star over a stored stage 2, for queries that read several of its tables.
+def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Stage 2 and the star as a whole load stored them, once per session.
 
-    Only ``columns`` of stage 2 are computed and stored; the others are null.
+    Dimensions, checks and questions read these, as they do after a load.
     """
-    stage2 = _stage2(spark, sf_dir)
-    kept = [
-        F.col(f.name) if f.name in columns else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in S.STAGE2_VIOLATION
-    ]
-    narrow = stored(stage2.select(*kept), "stage2")
-    return star.star(narrow, fixtures.staging_table(spark, sf_dir, "stage_violation_code"))
+
+    def make(root: str) -> dict[str, DataFrame]:
+        load_star(spark, raw_files.derived_tables(spark, sf_dir), root, LoadSettings(AS_OF_YEAR))
+        return open_star(spark, root).tables
+
+    return _once(spark, sf_dir, "star", make)
+
+
+def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The six tables of the stored star."""
+    tables = star_tables(spark, sf_dir)
+    return {name: tables[name] for name in S.STAR}
+
+
+def _stored_stage2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star_tables(spark, sf_dir)["stage2_violation"]
 
 
 def _from_stage(spark: SparkSession, sf_dir: str, **columns: Column) -> DataFrame:
@@ -211,14 +234,14 @@ def sink_stage_refresh(spark, sf_dir):
 
 @query
 def sink_truncate_insert(spark, sf_dir):
-    rows, target = stored(_stage2(spark, sf_dir), "stage2"), scratch_path(spark, "replaced")
+    rows, target = _stored_stage2(spark, sf_dir), scratch_path(spark, "replaced")
     replace_table(rows, target, S.STAGE2_VIOLATION)
     return replace_table(rows, target, S.STAGE2_VIOLATION)
 
 
 @query
 def sink_append(spark, sf_dir):
-    rows, target = stored(_stage2(spark, sf_dir), "stage2"), scratch_path(spark, "appended")
+    rows, target = _stored_stage2(spark, sf_dir), scratch_path(spark, "appended")
     append_table(rows, target, S.STAGE2_VIOLATION)
     return append_table(rows, target, S.STAGE2_VIOLATION)
 
@@ -226,7 +249,7 @@ def sink_append(spark, sf_dir):
 @query
 def sink_column_list(spark, sf_dir):
     """Places loaded with a column list that leaves out the key, so the key is null."""
-    places = star.location_dimension(_stage2(spark, sf_dir))
+    places = star.location_dimension(_stored_stage2(spark, sf_dir))
     listed = [name for name in S.LOCATION.names if name != "id"]
     return replace_table(places, scratch_path(spark, "location"), S.LOCATION, columns=listed)
 
@@ -259,17 +282,17 @@ def load_star_digests(spark, sf_dir):
 
 def _batches(spark: SparkSession, sf_dir: str) -> list[dict]:
     """The raw files with the citations in two parts that overlap in time, the later one first."""
-    files = raw_files.all_files(spark, sf_dir)
+    whole = raw_files.all_files(spark, sf_dir)
     early = F.coalesce(F.year("issue_date") < 1998, F.lit(False)) | (F.crc32("summons_number") % 5 == 0)
-    return [files | {"stage_violation": raw_files.citations_file(spark, sf_dir, ";", part)} for part in (~early, early)]
+    return [whole | {"stage_violation": raw_files.citations_file(spark, sf_dir, ";", part)} for part in (~early, early)]
 
 
 @query
 def load_batches_vehicle(spark, sf_dir):
     """Vehicles after a second batch of older citations was merged into the stored state."""
     root = scratch_path(spark, "warehouse")
-    for files in _batches(spark, sf_dir):
-        loaded = load_batch(spark, files, root, LoadSettings(AS_OF_YEAR))
+    for batch in _batches(spark, sf_dir):
+        loaded = load_batch(spark, batch, root, LoadSettings(AS_OF_YEAR))
     return loaded.tables["vehicle"]
 
 
@@ -277,8 +300,8 @@ def load_batches_vehicle(spark, sf_dir):
 def load_batches_digests(spark, sf_dir):
     """The content of the star after two batches; the same as of one load."""
     root = scratch_path(spark, "warehouse")
-    for files in _batches(spark, sf_dir):
-        load_batch(spark, files, root, LoadSettings(AS_OF_YEAR, by_issue_year()))
+    for batch in _batches(spark, sf_dir):
+        load_batch(spark, batch, root, LoadSettings(AS_OF_YEAR, by_issue_year()))
     tables = open_star(spark, root, verify=True).tables
     return digest_report({name: tables[name] for name in S.STAR})
 
@@ -395,12 +418,12 @@ def coalesce_defaults(spark, sf_dir):
 
 @query
 def surrogate_vehicle(spark, sf_dir):
-    return star.violation_fact(_stage2(spark, sf_dir)).select("summons_number", "vehicle")
+    return star.violation_fact(_stored_stage2(spark, sf_dir)).select("summons_number", "vehicle")
 
 
 @query
 def surrogate_location(spark, sf_dir):
-    return star.violation_fact(_stage2(spark, sf_dir)).select("summons_number", "location")
+    return star.violation_fact(_stored_stage2(spark, sf_dir)).select("summons_number", "location")
 
 
 _VEHICLE_PARTS = ("registration_state", "plate_id", "vehicle_body_type")
@@ -541,27 +564,27 @@ def dim_violation_code(spark, sf_dir):
 
 @query
 def dim_date(spark, sf_dir):
-    return star.date_dimension(_stage2(spark, sf_dir))
+    return star.date_dimension(_stored_stage2(spark, sf_dir))
 
 
 @query
 def dim_time(spark, sf_dir):
-    return star.time_dimension(_stage2(spark, sf_dir))
+    return star.time_dimension(_stored_stage2(spark, sf_dir))
 
 
 @query
 def dim_location(spark, sf_dir):
-    return star.location_dimension(_stage2(spark, sf_dir))
+    return star.location_dimension(_stored_stage2(spark, sf_dir))
 
 
 @query
 def dim_vehicle(spark, sf_dir):
-    return star.vehicle_dimension(_stage2(spark, sf_dir))
+    return star.vehicle_dimension(_stored_stage2(spark, sf_dir))
 
 
 @query
 def fact_violation(spark, sf_dir):
-    return star.violation_fact(_stage2(spark, sf_dir))
+    return star.violation_fact(_stored_stage2(spark, sf_dir))
 
 
 @query
@@ -579,29 +602,29 @@ def fact_violation_literal(spark, sf_dir):
 
 @query
 def last_body_type(spark, sf_dir):
-    stage2 = _stage2(spark, sf_dir)
+    stage2 = _stored_stage2(spark, sf_dir)
     return star.last_known_attribute(stage2, "vehicle_body_type", "body_type", V.UNKNOWN)
 
 
 @query
 def last_maker(spark, sf_dir):
-    return star.last_known_attribute(_stage2(spark, sf_dir), "vehicle_make", "maker", V.UNKNOWN)
+    return star.last_known_attribute(_stored_stage2(spark, sf_dir), "vehicle_make", "maker", V.UNKNOWN)
 
 
 @query
 def last_expiration_date(spark, sf_dir):
-    stage2 = _stage2(spark, sf_dir)
+    stage2 = _stored_stage2(spark, sf_dir)
     return star.last_known_attribute(stage2, "vehicle_expiration_date", "expiration_date")
 
 
 @query
 def last_color(spark, sf_dir):
-    return star.last_known_attribute(_stage2(spark, sf_dir), "vehicle_color", "color", V.UNKNOWN)
+    return star.last_known_attribute(_stored_stage2(spark, sf_dir), "vehicle_color", "color", V.UNKNOWN)
 
 
 @query
 def last_make_year(spark, sf_dir):
-    return star.last_known_attribute(_stage2(spark, sf_dir), "vehicle_year", "make_year")
+    return star.last_known_attribute(_stored_stage2(spark, sf_dir), "vehicle_year", "make_year")
 
 
 # --- Sets and sorts -----------------------------------------------------------------------
@@ -808,7 +831,7 @@ def check_stage(spark, sf_dir):
 
 @query
 def check_fact_dimension(spark, sf_dir):
-    return gates.loaded_gate(star_tables(spark, sf_dir, _ALL_KEYS))
+    return gates.loaded_gate(_star(spark, sf_dir))
 
 
 @query
@@ -850,19 +873,19 @@ def check_statements(spark, sf_dir):
 
 @query
 def check_primary_keys(spark, sf_dir):
-    return checks.primary_key_report(star_tables(spark, sf_dir, _ALL_KEYS), S.PRIMARY_KEYS)
+    return checks.primary_key_report(_star(spark, sf_dir), S.PRIMARY_KEYS)
 
 
 @query
 def check_references(spark, sf_dir):
-    tables = star_tables(spark, sf_dir, _ALL_KEYS)
+    tables = _star(spark, sf_dir)
     return checks.reference_report(tables["violation"], tables, S.REFERENCES)
 
 
 @query
 def check_null_keys(spark, sf_dir):
     columns = {"vehicle": ["id"], "location": ["id"], "violation": ["vehicle", "location"]}
-    return checks.null_key_report(star_tables(spark, sf_dir, _ALL_KEYS), columns)
+    return checks.null_key_report(_star(spark, sf_dir), columns)
 
 
 # --- Questions ----------------------------------------------------------------------------
@@ -870,30 +893,29 @@ def check_null_keys(spark, sf_dir):
 
 @query
 def top_months(spark, sf_dir):
-    tables = star_tables(spark, sf_dir, ("issue_date", "date_first_observed"))
+    tables = _star(spark, sf_dir)
     return questions.top_months(tables["violation"], tables["date"])
 
 
 @query
 def top_hours(spark, sf_dir):
-    tables = star_tables(spark, sf_dir, ("violation_time", "time_first_observed"))
+    tables = _star(spark, sf_dir)
     return questions.top_hours(tables["violation"], tables["time"])
 
 
 @query
 def top_vehicle_types(spark, sf_dir):
-    attributes = ("summons_number", "issue_date", "vehicle_body_type")
-    tables = star_tables(spark, sf_dir, (*_VEHICLE_KEY, *attributes))
+    tables = _star(spark, sf_dir)
     return questions.top_vehicle_types(tables["violation"], tables["vehicle"])
 
 
 @query
 def all_places_ranked(spark, sf_dir):
-    tables = star_tables(spark, sf_dir, star.PLACE_COLUMNS)
+    tables = _star(spark, sf_dir)
     return questions.top_places(tables["violation"], tables["location"])
 
 
 @query
 def top_places(spark, sf_dir):
-    tables = star_tables(spark, sf_dir, star.PLACE_COLUMNS)
+    tables = _star(spark, sf_dir)
     return questions.top_places(tables["violation"], tables["location"], TOP_PLACES)

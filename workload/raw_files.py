@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,20 @@ from curbstar.sources.scratch import scratch_path
 from workload import fixtures
 
 
+@dataclass(frozen=True)
+class Derived:
+    """A staging table as a source that needs no file."""
+
+    table: DataFrame
+
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        return self.table
+
+
+def derived_tables(spark: SparkSession, sf_dir: str) -> dict[str, Derived]:
+    return {name: Derived(df) for name, df in fixtures.full_staging(spark, sf_dir).items()}
+
+
 def write_delimited(df: DataFrame, sep: str, purpose: str) -> str:
     path = scratch_path(df.sparkSession, purpose)
     kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
