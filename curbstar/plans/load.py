@@ -43,6 +43,7 @@ class Delimited:
     any_date: bool = False
     mode: str = "FAILFAST"
     multiline: bool | Literal["split"] = False
+    date_neighbours: Mapping[str, Column | None] | None = None
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return read_delimited(
@@ -53,6 +54,7 @@ class Delimited:
             self.any_date,
             mode=self.mode,
             multiline=self.multiline,
+            date_neighbours=self.date_neighbours,
         )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from curbstar.functions.dates import ANY_DATE_FORMATS, parse_any_date
+from curbstar.operators.date_order import date_order_report, ordered_formats
 from curbstar.sources.records import array_records, quoted_records
 
 
@@ -23,6 +24,7 @@ def read_delimited(
     date_formats: Sequence[str] = ANY_DATE_FORMATS,
     mode: str = "FAILFAST",
     multiline: bool | Literal["split"] = False,
+    date_neighbours: Mapping[str, Column | None] | None = None,
 ) -> DataFrame:
     """Delimited text with one header line; fields bind to ``schema`` by position.
 
@@ -32,7 +34,10 @@ def read_delimited(
     selected columns are converted.
 
     ``any_date=True`` reads dates in any of ``date_formats`` and turns any other text into
-    null. No other conversion is tolerant unless ``mode`` says so. An empty field is null.
+    null. With ``date_neighbours`` the order of day and month is found for each date column by
+    ``operators.date_order`` before: the mapping names for a column a date of the same row, as an
+    expression over the texts, that its dates lie close to, or None; ``{}`` goes by the values
+    alone. An undecided column keeps the order of ``date_formats``. No other conversion is tolerant unless ``mode`` says so. An empty field is null.
     The files stay splittable, so one large file is read by many tasks.
     """
     if not any_date:
@@ -44,9 +49,14 @@ def read_delimited(
         ]
     )
     raw = _delimited_rows(spark, path, as_text, sep, mode, multiline)
+    formats = {f.name: date_formats for f in schema}
+    if date_neighbours is not None:
+        dated = {f.name: date_neighbours.get(f.name) for f in schema if isinstance(f.dataType, DateType)}
+        for row in date_order_report(raw, dated).collect():
+            formats[row["column_name"]] = ordered_formats(date_formats, row["date_order"])
     return raw.select(
         *[
-            parse_any_date(F.col(f.name), date_formats).alias(f.name)
+            parse_any_date(F.col(f.name), formats[f.name]).alias(f.name)
             if isinstance(f.dataType, DateType)
             else F.col(f.name)
             for f in schema

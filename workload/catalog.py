@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from curbstar.functions import codes, dates, keys, times
 from curbstar.functions import values as V
 from curbstar.operators import checks, keyed, profile
+from curbstar.operators.date_order import DAY_FIRST, MONTH_FIRST, date_order_report
 from curbstar.operators.digest import digest_report
 from curbstar.operators.lookup import (
     Lookup,
@@ -187,6 +188,40 @@ def src_csv_multiline(spark, sf_dir):
     return rows.select(*PROFILE_COLUMNS)
 
 
+def _in_either_order(spark: SparkSession, sf_dir: str, where: Column | None, use) -> DataFrame:
+    """A file with the day first and one with the month first."""
+    rows = _citations(spark, sf_dir) if where is None else _citations(spark, sf_dir).filter(where)
+    parts = []
+    for order in (DAY_FIRST, MONTH_FIRST):
+        texts = raw_files.with_date_order(rows.select(*S.STAGE_VIOLATION.names), order)
+        path = raw_files.write_delimited(texts, ";", order)
+        parts.append(use(path).select(F.lit(order).alias("file_order"), "*"))
+    return reduce(DataFrame.unionAll, parts)
+
+
+@query
+def src_csv_date_order(spark, sf_dir):
+    """Dates read in the order that each file's own values show."""
+
+    def read(path: str) -> DataFrame:
+        raw = raw_files.Delimited(path, ";", any_date=True, date_neighbours={})
+        return raw.read(spark, "stage_violation").select("summons_number", "issue_date", "vehicle_expiration_date")
+
+    return _in_either_order(spark, sf_dir, None, read)
+
+
+@query
+def date_order_evidence(spark, sf_dir):
+    """What tells the order of dates, where days above 12 are absent: the expiration date nearby."""
+
+    def report(path: str) -> DataFrame:
+        texts = read_columns(spark, path, {c: c for c in ("issue_date", "vehicle_expiration_date")}, ";")
+        near = dates.parse_date(F.col("vehicle_expiration_date"), V.COMPACT_DATE_FORMAT)
+        return date_order_report(texts, {"issue_date": near, "vehicle_expiration_date": None})
+
+    return _in_either_order(spark, sf_dir, F.dayofmonth("issue_date") <= 12, report)
+
+
 @query
 def src_json_array(spark, sf_dir):
     """One large array of records over several lines, cut by many tasks."""

@@ -438,6 +438,26 @@ GROUP BY ALL""",
     )
     broken = "replace(street_name, ' ', chr(10)) AS street_name"
     out["src_csv_multiline"] = statement(f"SELECT * REPLACE ({broken}) FROM ({_SELECT_STAGE})", *sv)
+    orders = ("day_first", "month_first")
+    out["src_csv_date_order"] = statement(
+        _all([f"SELECT '{o}' AS file_order, summons_number, issue_date, vehicle_expiration_date FROM stage_violation" for o in orders]),
+        *sv,
+    )
+    swapped = "make_date(year(issue_date), day(issue_date), month(issue_date))"
+    apart = f"abs(date_diff('day', {swapped}, vehicle_expiration_date))"
+    true_apart = "abs(date_diff('day', issue_date, vehicle_expiration_date))"
+    nearer, farther = (f"count(*) FILTER (WHERE {true_apart} {c} {apart})" for c in "<>")
+    out["date_order_evidence"] = statement(
+        _all(
+            [
+                f"""SELECT '{o}' AS file_order, 'issue_date' AS column_name, 0::BIGINT AS day_only, 0::BIGINT AS month_only,
+  {a} AS day_nearer, {b} AS month_nearer, '{o}' AS date_order FROM stage_violation WHERE day(issue_date) <= 12
+UNION ALL SELECT '{o}', 'vehicle_expiration_date', 0, 0, 0, 0, 'undecided'"""
+                for o, a, b in ((orders[0], nearer, farther), (orders[1], farther, nearer))
+            ]
+        ),
+        *sv,
+    )
     out["src_json_array"] = statement(
         f"SELECT summons_number, plate_id, violation_code, {broken} FROM stage_violation", *sv
     )

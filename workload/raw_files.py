@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbstar.operators.date_order import DAY_FIRST
 from curbstar.plans.load import JSON_PATHS, Delimited, JsonRecords
 from curbstar.sources.readers import path_steps
 from curbstar.sources.schemas import STAGING
@@ -66,6 +67,14 @@ def write_path_list(spark: SparkSession, table: str) -> str:
     return path
 
 
+def with_date_order(df: DataFrame, order: str) -> DataFrame:
+    """Issue dates as numbers in one order, expiration dates compact."""
+    layout = "dd/MM/yyyy" if order == DAY_FIRST else "MM/dd/yyyy"
+    return df.withColumn("issue_date", F.date_format("issue_date", layout)).withColumn(
+        "vehicle_expiration_date", F.date_format("vehicle_expiration_date", "yyyyMMdd")
+    )
+
+
 def with_line_breaks(df: DataFrame) -> DataFrame:
     """Street names over several lines."""
     return df.withColumn("street_name", F.replace("street_name", F.lit(" "), F.lit("\n")))
