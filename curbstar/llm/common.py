@@ -26,7 +26,7 @@ PLAIN_WORD_BYTES = bytes(
 )
 
 #: Column of :func:`keyed`.
-KEY = "__key"
+KEY = "__curbstar_key"
 #: The place of a row without an id, after all ids.
 LAST = (1 << 63) - 1
 
@@ -126,12 +126,12 @@ def keyed(documents: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     if own.groupBy(KEY).agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
         return own
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = own.withColumn("__row", F.monotonically_increasing_id())
-    rows = rows.repartitionByRange(parts, KEY, "__row").sortWithinPartitions(KEY, "__row")
-    return stored(rows.withColumn(KEY, F.monotonically_increasing_id()).drop("__row"), "keyed")
+    rows = own.withColumn("__curbstar_row", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(parts, KEY, "__curbstar_row").sortWithinPartitions(KEY, "__curbstar_row")
+    return stored(rows.withColumn(KEY, F.monotonically_increasing_id()).drop("__curbstar_row"), "keyed")
 
 
 def without(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows of a :func:`keyed` table whose key is not in ``keys``, without their key."""
-    bad = keys.select(F.col(keys.columns[0]).alias("__bad")).distinct()
-    return rows.join(bad, F.col(KEY) == F.col("__bad"), "left_anti").drop(KEY)
+    bad = keys.select(F.col(keys.columns[0]).alias("__curbstar_bad")).distinct()
+    return rows.join(bad, F.col(KEY) == F.col("__curbstar_bad"), "left_anti").drop(KEY)

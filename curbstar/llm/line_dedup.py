@@ -1,7 +1,8 @@
 """Near-duplicate lines by an exact set-similarity join; later matches go.
 
-A line is its set of 5-word shingles, words in lower case, as the SQL of the registered query has it;
-with ``shingle=1`` it is its set of words, which matches many more edited lines. Lines with the same text are one class,
+A line is its set of 5-word shingles, words in lower case, and one of fewer words is a single token
+of all of them, as the SQL of the registered query has it; with ``shingle=1`` it is its set of
+words, which matches many more edited lines. ``short=False`` leaves lines of fewer words alone. Lines with the same text are one class,
 at its first occurrence. Tokens have a global order by rarity: frequent tokens come last, by their
 count, and the hash decides among the others. Two sets with Jaccard 0.8 or more share a token
 within the first ``n - ceil(0.8 n) + 1`` of each under any order, so only those prefixes are
@@ -45,7 +46,7 @@ def _lines(documents: DataFrame) -> DataFrame:
     return documents.select("doc", F.posexplode(split).alias("line", "content"))
 
 
-def line_tokens(content: Column, shingle: int = SHINGLE, short: bool = False) -> Column:
+def line_tokens(content: Column, shingle: int = SHINGLE, short: bool = True) -> Column:
     """Distinct runs of ``shingle`` words of a line as hashes in order. A line of fewer words is one
     token if ``short``, else null; a line without words is null."""
     # One literal space splits several times faster than an expression; other white space is rare.
@@ -70,7 +71,7 @@ def _similar(n_x: Column, n_y: Column, both: Column, percent: int) -> Column:
     return (100 + percent) * both >= percent * (n_x + n_y)
 
 
-def matched_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE, short: bool = False) -> DataFrame:
+def matched_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE, short: bool = True) -> DataFrame:
     """(doc, line) of every line to remove: it has the text, or nearly the shingles, of an earlier line.
 
     Lines of fewer than ``shingle`` words are compared as a whole if ``short``, else never removed;
@@ -184,7 +185,7 @@ def _removed_numbers(rows: DataFrame, text: str, percent: int, shingle: int, sho
     return found.groupBy(F.col("doc").alias(KEY)).agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
 
-def line_report(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE, short: bool = False) -> DataFrame:
+def line_report(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE, short: bool = True) -> DataFrame:
     """One row per input row: doc_id, n_lines, n_removed, removed (line numbers from 0, comma-joined).
 
     A null or empty text has one empty line and loses nothing; an empty table gives an empty result.
@@ -202,17 +203,17 @@ def line_report(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     )
 
 
-def deduplicated_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE, short: bool = False) -> DataFrame:
+def deduplicated_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE, short: bool = True) -> DataFrame:
     """``documents`` without their removed lines, all other columns as they are.
 
     A document whose words are all in removed lines goes; texts that lose nothing are unchanged.
     """
     rows = keyed(documents, doc_id)
-    removed = _removed_numbers(rows, text, percent, shingle, short).withColumnRenamed("removed", "__removed")
+    removed = _removed_numbers(rows, text, percent, shingle, short).withColumnRenamed("removed", "__curbstar_removed")
     joined = rows.join(removed, KEY, "left")
     kept = let(
         F.split(F.col(text), "\n"),
-        lambda lines: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__removed")), lambda i: F.get(lines, i)), "\n"),
+        lambda lines: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__curbstar_removed")), lambda i: F.get(lines, i)), "\n"),
     )
-    out = joined.withColumn(text, F.when(F.col("__removed").isNull(), F.col(text)).otherwise(kept))
-    return out.filter(F.col("__removed").isNull() | F.col(text).rlike("[^\\x20\\x09-\\x0D]")).select(*documents.columns)
+    out = joined.withColumn(text, F.when(F.col("__curbstar_removed").isNull(), F.col(text)).otherwise(kept))
+    return out.filter(F.col("__curbstar_removed").isNull() | F.col(text).rlike("[^\\x20\\x09-\\x0D]")).select(*documents.columns)

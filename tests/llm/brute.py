@@ -103,13 +103,13 @@ def mix_targets(sizes, weights=(1, 2, 3), percent=100, most=3):
 
 
 def removed_lines(rows, percent=80):
-    """{(doc_id, line)} with an earlier line of similar shingles; rows: (doc_id, text), ids apart."""
+    """{(doc_id, line)} with an earlier line of similar shingles, a line of fewer words taken whole; rows: (doc_id, text), ids apart."""
     lines = []
     for d, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         for i, line in enumerate((text or "").split("\n")):
             w = space_words(line.lower())
-            if len(w) >= 5:
-                lines.append(((d, i), {tuple(w[k : k + 5]) for k in range(len(w) - 4)}))
+            if w:
+                lines.append(((d, i), {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}))
     holders, out = defaultdict(list), set()
     for k, (at, s) in enumerate(lines):
         both = Counter(j for w in s for j in holders[w])
