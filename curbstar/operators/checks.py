@@ -232,3 +232,18 @@ def reference_report(
         "dimension",
         *[F.coalesce(n, F.lit(0)).alias(n) for n in ("orphan_keys", "orphan_rows")],
     )
+
+
+def orphan_report(fact: DataFrame, column: str, dimension: DataFrame, key: str) -> DataFrame:
+    """One row for one reference: fact_column, orphan_keys, orphan_rows.
+
+    Keys keep their type, so tables in matching buckets are compared without a shuffle.
+    """
+    used = fact.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_used")).agg(F.count("*").alias("n"))
+    known = dimension.select(F.col(key).alias("_known"))
+    orphans = used.join(known, F.col("_used") == F.col("_known"), "left_anti")
+    return orphans.agg(
+        F.lit(column).alias("fact_column"),
+        F.count("*").alias("orphan_keys"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
+    )

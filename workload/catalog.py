@@ -26,6 +26,7 @@ from curbstar.plans import gates, questions, stage, star
 from curbstar.plans.load import JSON_PATHS, JsonRecords, LoadSettings, by_issue_year, load_batch, load_star, open_star
 from curbstar.sources import files
 from curbstar.sources import schemas as S
+from curbstar.sources.buckets import Buckets, create_bucketed
 from curbstar.sources.readers import read_columns, read_json_paths
 from curbstar.sources.schemas import conform
 from curbstar.sources.scratch import scratch_path
@@ -923,6 +924,25 @@ def check_null_keys(spark, sf_dir):
     return checks.null_key_report(_star(spark, sf_dir), columns)
 
 
+def _bucketed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Facts and vehicles of the stored star in matching buckets of the vehicle key."""
+
+    def make(path: str) -> dict[str, DataFrame]:
+        tables, count = _star(spark, sf_dir), int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return {
+            name: create_bucketed(tables[name], f"{path}/{name}", S.STAR[name], Buckets(key, count))
+            for name, key in (("violation", "vehicle"), ("vehicle", "id"))
+        }
+
+    return _once(spark, sf_dir, "bucketed", make)
+
+
+@query
+def check_vehicle_reference_bucketed(spark, sf_dir):
+    tables = _bucketed(spark, sf_dir)
+    return checks.orphan_report(tables["violation"], "vehicle", tables["vehicle"], "id")
+
+
 # --- Questions ----------------------------------------------------------------------------
 
 
@@ -944,6 +964,12 @@ def top_vehicle_types(spark, sf_dir):
     return questions.top_vehicle_types(tables["violation"], tables["vehicle"])
 
 
+@query
+def top_vehicle_types_bucketed(spark, sf_dir):
+    tables = _bucketed(spark, sf_dir)
+    return questions.top_vehicle_types(tables["violation"], tables["vehicle"])
+
+
 @query
 def all_places_ranked(spark, sf_dir):
     tables = _star(spark, sf_dir)

@@ -867,4 +867,11 @@ UNION ALL SELECT 'vehicle_expiration_date', count(*) FILTER (vehicle_expiration_
         "violation",
         "location",
     )
+    out["top_vehicle_types_bucketed"] = out["top_vehicle_types"]
+    out["check_vehicle_reference_bucketed"] = statement(
+        """SELECT 'vehicle' AS fact_column, count(DISTINCT vehicle) AS orphan_keys, count(vehicle) AS orphan_rows
+FROM violation f WHERE vehicle IS NOT NULL AND NOT EXISTS (SELECT 1 FROM vehicle v WHERE v.id = f.vehicle)""",
+        "violation",
+        "vehicle",
+    )
     return out
