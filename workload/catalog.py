@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from curbstar.functions import codes, dates, keys, times
 from curbstar.functions import values as V
-from curbstar.operators import checks, keyed, profile
+from curbstar.operators import checks, keyed, profile, sketches
 from curbstar.operators.date_order import DAY_FIRST, MONTH_FIRST, date_order_report
 from curbstar.operators.digest import digest_report
 from curbstar.operators.lookup import (
@@ -27,9 +27,10 @@ from curbstar.plans.load import JSON_PATHS, JsonRecords, LoadSettings, by_issue_
 from curbstar.sources import files
 from curbstar.sources import schemas as S
 from curbstar.sources.buckets import Buckets, create_bucketed
+from curbstar.sources.clustering import clustered
 from curbstar.sources.readers import read_columns, read_json_paths
 from curbstar.sources.schemas import conform
-from curbstar.sources.scratch import scratch_path
+from curbstar.sources.scratch import scratch_path, stored
 from curbstar.sources.writers import append_table, create_table, replace_table
 from workload import fixtures, raw_files
 from workload.oracles import (
@@ -37,7 +38,10 @@ from workload.oracles import (
     CODE_TABLES,
     DISTINCT_COLUMNS,
     DUPLICATE_COLUMNS,
+    FREQUENT_COLUMNS,
+    FREQUENT_VALUES,
     HEAD_PRECINCTS,
+    MONTH_AND_COUNTY,
     PROFILE_COLUMNS,
     TOP_PLACES,
     VALUE_COLUMNS,
@@ -727,6 +731,37 @@ def profile_columns(spark, sf_dir):
     return profile.profile_columns(_citations(spark, sf_dir), PROFILE_COLUMNS)
 
 
+def _sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of each issue year, stored as each year's load would."""
+    parts = sketches.column_sketches(_citations(spark, sf_dir), PROFILE_COLUMNS, F.year("issue_date"))
+    return stored(parts, "sketches")
+
+
+@query
+def profile_merged(spark, sf_dir):
+    """The profile of all columns from the years' sketches, and whether its estimates keep their bound."""
+    merged = sketches.merged_profile(_sketches(spark, sf_dir))
+    exact = profile.distinct_values(_citations(spark, sf_dir), PROFILE_COLUMNS).filter("value IS NOT NULL")
+    counted = exact.groupBy("column_name").agg(F.count("*").alias("distinct_count"))
+    apart = F.abs(F.col("distinct_estimate") - F.col("distinct_count")) / F.col("distinct_count")
+    return merged.join(counted, "column_name").select(
+        "column_name",
+        "row_count",
+        "value_count",
+        "smallest",
+        "largest",
+        "distinct_count",
+        (apart <= 3 * sketches.RELATIVE_ERROR).alias("within_bound"),
+    )
+
+
+@query
+def frequent_values_merged(spark, sf_dir):
+    """The most frequent values of code columns, from the years' sketches."""
+    found = sketches.merged_frequent_values(_sketches(spark, sf_dir), FREQUENT_VALUES)
+    return found.filter(F.col("column_name").isin(*FREQUENT_COLUMNS))
+
+
 @query
 def profile_null_rows(spark, sf_dir):
     rows = profile.rows_where_null(_citations(spark, sf_dir), "vehicle_make")
@@ -970,6 +1005,22 @@ def top_vehicle_types_bucketed(spark, sf_dir):
     return questions.top_vehicle_types(tables["violation"], tables["vehicle"])
 
 
+@query
+def citations_of_month_and_county(spark, sf_dir):
+    """Citations per day and county of one month and county, from files clustered by both."""
+
+    def make(path: str) -> dict[str, DataFrame]:
+        count = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = clustered(_stored_stage2(spark, sf_dir), ["issue_date", "violation_county"], count)
+        return {"stage2": create_table(rows, f"{path}/stage2", S.STAGE2_VIOLATION)}
+
+    rows = _once(spark, sf_dir, "clustered", make)["stage2"]
+    first, county = MONTH_AND_COUNTY
+    month = F.col("issue_date").between(F.to_date(F.lit(first)), F.last_day(F.to_date(F.lit(first))))
+    found = rows.filter(month & (F.col("violation_county") == county))
+    return found.groupBy("issue_date", "violation_county").agg(F.count("*").alias("n"))
+
+
 @query
 def all_places_ranked(spark, sf_dir):
     tables = _star(spark, sf_dir)

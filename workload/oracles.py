@@ -270,6 +270,8 @@ VEHICLE_ATTRIBUTES = [
 ]
 DUPLICATE_COLUMNS = ["summons_number", "plate_id", "registration_state", "plate_type"]
 PROFILE_COLUMNS = STAGE_VIOLATION.names
+FREQUENT_COLUMNS = ["plate_type", "violation_code", "issuer_squad", "days_parking_in_effect", "vehicle_color"]
+FREQUENT_VALUES = 3
 # Column of the citations → (lookup table, key, description, case folded).
 CODE_TABLES = {
     "registration_state": ("stage_state", "state_code", "description", True),
@@ -281,6 +283,7 @@ CODE_TABLES = {
     "vehicle_color": ("stage_vehicle_color", "code", "color", True),
 }
 TOP_PLACES = 20
+MONTH_AND_COUNTY = ("1998-03-01", "ASIA")
 HEAD_PRECINCTS = 80
 
 
@@ -672,6 +675,24 @@ WHERE value IS NOT NULL GROUP BY ALL""",
         ),
         *sv,
     )
+    out["profile_merged"] = statement(
+        _all(
+            [
+                f"""SELECT '{c}' AS column_name, count(*) AS row_count, count({c}) AS value_count, min(CAST({c} AS VARCHAR)) AS smallest,
+  max(CAST({c} AS VARCHAR)) AS largest, count(DISTINCT {c}) AS distinct_count, TRUE AS within_bound FROM stage_violation
+HAVING count({c}) > 0"""
+                for c in PROFILE_COLUMNS
+            ]
+        ),
+        *sv,
+    )
+    out["frequent_values_merged"] = statement(
+        f"""SELECT column_name, value, n FROM (
+  SELECT *, rank() OVER (PARTITION BY column_name ORDER BY n DESC) AS place
+  FROM (SELECT column_name, value, count(*) AS n FROM ({_values(FREQUENT_COLUMNS, STAGE)}) WHERE value IS NOT NULL GROUP BY ALL))
+WHERE place <= {FREQUENT_VALUES}""",
+        *sv,
+    )
     out["profile_null_rows"] = statement(
         "SELECT summons_number, vehicle_body_type FROM stage_violation WHERE vehicle_make IS NULL",
         *sv,
@@ -867,6 +888,12 @@ UNION ALL SELECT 'vehicle_expiration_date', count(*) FILTER (vehicle_expiration_
         "violation",
         "location",
     )
+    first, county = MONTH_AND_COUNTY
+    out["citations_of_month_and_county"] = statement(
+        f"""SELECT issue_date, violation_county, count(*) AS n FROM stage2
+WHERE date_trunc('month', issue_date) = DATE '{first}' AND violation_county = '{county}' GROUP BY ALL""",
+        "stage2",
+    )
     out["top_vehicle_types_bucketed"] = out["top_vehicle_types"]
     out["check_vehicle_reference_bucketed"] = statement(
         """SELECT 'vehicle' AS fact_column, count(DISTINCT vehicle) AS orphan_keys, count(vehicle) AS orphan_rows
