@@ -80,23 +80,23 @@ def mixed_documents(
     ``taken`` counts the words that the mix takes of the document, over all passes; ``mix_begin``
     is the place in the mix of the first of them, null if there is none. The budget is a percentage
     of all words. Null and empty texts have size 0 and nothing is taken. A null source is a source,
-    numbered last. Rows that repeat are documents of their own and ordered among each other by
-    their row number. Other columns are ignored; an empty table gives an empty result.
+    numbered last. Rows that share an id are ordered by their texts, so reruns agree however the
+    input is split; rows that repeat whole are documents of their own that may change places. Other columns are ignored; an empty table gives an empty result.
     """
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     docs = stored(
-        documents.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), size.alias("size")), "mix"
+        documents.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), size.alias("size"), F.xxhash64(text).alias("tie")), "mix"
     )
     sizes = stored(docs.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
     budget = (sizes.agg(F.sum("source_size")).first()[0] or 0) * budget_percent // 100
     sources = stored(source_targets(stored(numbered_sources(sizes, weights), "mix-numbers"), budget, most), "mix-targets")
     known = docs.join(sources.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    known = stored(known.select("row", "doc_id", "source", "size", "source_size", "number", "target"), "mix-known")
+    known = stored(known.select("row", "doc_id", "source", "size", "tie", "source_size", "number", "target"), "mix-known")
 
     passes = F.when((F.col("size") > 0) & (F.col("target") > 0), F.ceil(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
     turns = known.filter(passes > 0).withColumn("turn", F.explode(F.sequence(F.lit(1), passes)))
-    turns = turns.select("row", "number", "size", "target", "turn", shuffle_key("doc_id", F.col("turn")).alias("key"))
-    queued = running_total(turns, ["number"], ["turn", "key", "row"], "size", "finish")
+    turns = turns.select("row", "number", "size", "tie", "target", "turn", shuffle_key("doc_id", F.col("turn")).alias("key"))
+    queued = running_total(turns, ["number"], ["turn", "key", "tie", "row"], "size", "finish")
     goal = F.round("target").cast("long")
     queued = queued.withColumn("part", F.least("finish", goal) - (F.col("finish") - F.col("size"))).filter("part > 0")
     queued = queued.withColumn("time", F.least(F.col("finish"), goal) / F.col("target"))

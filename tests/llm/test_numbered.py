@@ -376,3 +376,28 @@ def test_empty_tables_give_empty_results(spark, empty):
         pii.span_report(empty), licenses.license_report(empty), token_counts.section_tokens(empty), warc.archive_report(pages), main_text.extracted_pages(pages),
     ):
         assert out.count() == 0
+
+
+def test_captures_of_urls_that_are_none_or_hold_spaces(spark):
+    """Keys sort as they are stored, and a text that is no URL has one."""
+    urls = [f"http://a.org/{i}{c}x" for i in range(40) for c in (" ", "", " ", "~")]
+    urls += ["http://[abc", "http://]x/", "", None, "no url at all", "http://a.org/\r\n9", "http://[::1]/x"]
+    rows = [(i, u, f"<p>{i % 7}</p>") for i, u in enumerate(urls)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert warc.archive_report(pages).count() == len(rows)
+    root = scratch_path(spark, "test-warc")
+    captures = warc.written_archives(pages, f"{root}/archives")
+    blocks = warc.write_index(captures, f"{root}/index", 5)
+    found = collections.Counter(r["asked"] for r in warc.lookup(spark, blocks, pages.select("url")).collect())
+    keys = collections.Counter(warc.url_key(u) for u in urls)
+    assert found == collections.Counter({u: keys[warc.url_key(u)] for u in urls})
+
+
+def test_mixing_of_rows_that_share_an_id_does_not_follow_the_split(spark):
+    rows = [(i % 3, " ".join(["w"] * (1 + i % 9)) + f" t{i}", "s") for i in range(90)] + [(5, "word " * 400, "t")]
+    taken = []
+    for parts in (1, 4, 7):
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts, "text")
+        mixed = mixing.mixed_documents(df)
+        taken.append(sorted(map(tuple, mixed.select("doc_id", "size", "source_size", "target", "taken").collect())))
+    assert taken[0] == taken[1] == taken[2]
