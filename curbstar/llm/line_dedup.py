@@ -1,18 +1,20 @@
 """Near-duplicate lines by an exact set-similarity join; later matches go.
 
-A line is its set of 5-word shingles, words in lower case, and one of fewer words is a single token
-of all of them, as the SQL of the registered query has it; with ``shingle=1`` it is its set of
-words, which matches many more edited lines. ``short=False`` leaves lines of fewer words alone. Lines with the same text are one class,
-at its first occurrence. Tokens have a global order by rarity: frequent tokens come last, by their
-count, and the hash decides among the others. Two sets with Jaccard 0.8 or more share a token
-within the first ``n - ceil(0.8 n) + 1`` of each under any order, so only those prefixes are
-joined, under bounds on length and position. A line that matches an earlier line is removed, also
-where that one is removed itself.
-
-Nearly all tokens are held by one line. So the prefixes are first taken by hash alone and counted,
-and lines that share no token of theirs match nothing. Where a prefix token has a high count, all
-tokens of its lines are counted, and lines with a frequent token in the prefix get their prefix anew
-under the full order; the others have the same prefix under both.
+A line is its set of words in lower case. With ``shingle=5`` it is its set of 5-word shingles, which
+matches far fewer edited lines; one of fewer words is then a single token of all of them, or left
+alone with ``short=False``. Lines with the same text are one class, at its first occurrence.
+
+Tokens have a global order by rarity: frequent tokens come last, by their count in the corpus, and
+the hash decides among the others. Two sets with Jaccard 0.8 or more share a token within the first
+``n - ceil(0.8 n) + 1`` of each under any order, so only those prefixes are joined. Pairs must pass
+bounds on length and position, and on the difference of the sets that 128 parity bits of each line
+show; the rest is verified. A line that matches an earlier line is removed, also where that one is
+removed itself.
+
+All tokens are counted with partial aggregation. At most ``FREQUENT_TOKENS`` of them, the most
+frequent, reach the driver; a table of ``RANK_SLOTS`` small numbers made of them gives each token its
+rank by hash. A rare token that falls on a frequent one's place is ranked as frequent, which is an
+order like any other.
 
 Large groups of near copies: of each shared prefix token two lines are tried first, the first and
 the plainest, and a line they remove needs no more comparisons. Only the lines left are compared
@@ -33,11 +35,13 @@ from curbstar.llm.common import KEY, keyed, let
 from curbstar.sources.scratch import discard, stored
 
 PERCENT = 80
-SHINGLE = 5
-#: Tokens of so many lines are frequent.
-FREQUENT_FROM = 32
-#: Up to this many documents, those with lines to compare are sent to all executors.
-BROADCAST_IDS = 2_000_000
+SHINGLE = 1
+#: So many of the most frequent tokens are ranked by their counts.
+FREQUENT_TOKENS = 1 << 16
+#: Places of the table of ranks, a power of two.
+RANK_SLOTS = 1 << 18
+#: Lines to compare are sent to all executors up to so many bytes, else joined with a shuffle.
+BROADCAST_BYTES = 64 << 20
 
 
 def _lines(documents: DataFrame) -> DataFrame:
@@ -62,6 +66,46 @@ def line_tokens(content: Column, shingle: int = SHINGLE, short: bool = True) ->
     return let(words, tokens)
 
 
+def _rank_class(count: Column) -> Column:
+    """Half octaves, so any count fits seven bits."""
+    return F.floor(2 * F.log2(count)).cast("int")
+
+
+def rank_table(tokens: DataFrame) -> Column:
+    """The rank of each place, as a constant array; ``tokens`` has one row per occurrence in ``token``.
+
+    The most frequent tokens, ``FREQUENT_TOKENS`` or fewer, have the class of their count; a place
+    without any of them has rank 0.
+    """
+    counts = stored(tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token", _rank_class(F.col("n")).alias("rank")), "line-counts")
+    held, least = 0, None
+    for r in counts.groupBy("rank").agg(F.count("*").alias("n")).orderBy(F.desc("rank")).collect():
+        held += r["n"]
+        if held > FREQUENT_TOKENS:
+            break
+        least = r["rank"]
+    ranks = [0] * RANK_SLOTS
+    if least is not None:
+        slot = F.col("token").bitwiseAND(RANK_SLOTS - 1)
+        for r in counts.filter(F.col("rank") >= least).groupBy(slot.alias("slot")).agg(F.max("rank").alias("rank")).collect():
+            ranks[r["slot"]] = r["rank"]
+    discard(counts)
+    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
+
+
+def _ordered(tokens: Column, ranks: Column) -> Column:
+    """Tokens in the global order, each with its rank in the upper bits."""
+    ranked = lambda t: F.shiftleft(F.get(ranks, t.bitwiseAND(RANK_SLOTS - 1)).cast("long"), 56).bitwiseOR(t.bitwiseAND((1 << 56) - 1))
+    return F.sort_array(F.transform(tokens, ranked))
+
+
+def _parity(tokens: Column, half: int) -> Column:
+    """64 bits of a line, each the parity of the number of its tokens that fall on it."""
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t, 24).bitwiseAND(63).cast("int"))
+    own = lambda t: F.shiftright(t, 30).bitwiseAND(1) == half
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda bits, t: F.when(own(t), bits.bitwiseXOR(bit(t))).otherwise(bits))
+
+
 def _prefix(tokens: Column, percent: int) -> Column:
     n = F.size(tokens)
     return F.slice(tokens, 1, n - F.floor((n * percent + 99) / 100).cast("int") + 1)
@@ -72,7 +116,7 @@ def _similar(n_x: Column, n_y: Column, both: Column, percent: int) -> Column:
 
 
 def matched_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE, short: bool = True) -> DataFrame:
-    """(doc, line) of every line to remove: it has the text, or nearly the shingles, of an earlier line.
+    """(doc, line) of every line to remove: it has the text, or nearly the tokens, of an earlier line.
 
     Lines of fewer than ``shingle`` words are compared as a whole if ``short``, else never removed;
     lines without words, so all lines of null and empty texts, are never removed.
@@ -80,11 +124,17 @@ def matched_lines(documents: DataFrame, key: str = "doc_id", text: str = "text",
     """
     docs = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     tokens_of = lambda content: line_tokens(content, shingle, short)
-    hashed = let(tokens_of(F.col("content")), lambda t: F.struct(F.size(t).alias("n"), _prefix(t, percent).alias("prefix")))
+    ranks = rank_table(_lines(docs).select(F.explode(tokens_of(F.col("content"))).alias("token")))
+    hashed = let(
+        tokens_of(F.col("content")),
+        lambda t: F.struct(
+            F.size(t).alias("n"), _prefix(_ordered(t, ranks), percent).alias("prefix"), _parity(t, 0).alias("even"), _parity(t, 1).alias("odd")
+        ),
+    )
     lines = stored(
         _lines(docs)
         .select("doc", "line", F.xxhash64("content").alias("g1"), F.xxhash64(F.lit(1), "content").alias("g2"), hashed.alias("t"))
-        .select("doc", "line", "g1", "g2", "t.n", "t.prefix").filter("n > 0"),
+        .select("doc", "line", "g1", "g2", "t.*").filter("n > 0"),
         "lines",
     )
     classes = lines.groupBy("g1", "g2").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("copies"))
@@ -92,31 +142,31 @@ def matched_lines(documents: DataFrame, key: str = "doc_id", text: str = "text",
     copied = lines.select("doc", "line", "g1", "g2").join(repeated, ["g1", "g2"])
     copied = stored(copied.filter((F.col("doc") != F.col("first.doc")) | (F.col("line") != F.col("first.line"))).select("doc", "line").distinct(), "line-repeats")
 
-    postings = lines.select("doc", "line", "n", F.posexplode("prefix").alias("pos", "token"))
-    common = stored(postings.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1"), "line-tokens")
-    shared = postings.join(common, "token").join(copied, ["doc", "line"], "left_anti")
-    shared = stored(shared.select("token", "doc", "line", "n", (F.col("n") - F.col("pos")).alias("rest")), "line-postings")
-    discard(lines, repeated, common)
-    # Copies are gone now; tokens that only copies shared are no more shared.
-    held = stored(shared.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1"), "line-held")
-    shared = stored(shared.join(held.select("token"), "token"), "line-shared")
-    shared = _with_frequent_last(docs, shared, held.filter(F.col("held") >= FREQUENT_FROM), percent, tokens_of)
+    # Only the first line of a class has postings, and only tokens that two of them hold.
+    firsts = lines.join(copied, ["doc", "line"], "left_anti")
+    postings = firsts.select("doc", "line", "n", "even", "odd", F.posexplode("prefix").alias("pos", "token"))
+    held = stored(postings.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1").select("token"), "line-held")
+    shared = postings.join(held, "token")
+    shared = stored(shared.select("token", "doc", "line", "n", (F.col("n") - F.col("pos")).alias("rest"), "even", "odd"), "line-postings")
+    discard(lines, repeated, held)
 
     def can_match(x: str, y: str) -> Column:
-        """y is earlier, and length and position leave room for the overlap."""
+        """y is earlier, and length, position and parities leave room for the overlap."""
         c = lambda side, name: F.col(f"{side}.{name}")
         earlier = (c(y, "doc") < c(x, "doc")) | ((c(y, "doc") == c(x, "doc")) & (c(y, "line") < c(x, "line")))
         lengths = 100 * F.least(c(x, "n"), c(y, "n")) >= percent * F.greatest(c(x, "n"), c(y, "n"))
-        return earlier & lengths & _similar(c(x, "n"), c(y, "n"), F.least(c(x, "rest"), c(y, "rest")), percent)
+        apart = F.bit_count(c(x, "even").bitwiseXOR(c(y, "even"))) + F.bit_count(c(x, "odd").bitwiseXOR(c(y, "odd")))
+        close = (100 + percent) * apart <= (100 - percent) * (c(x, "n") + c(y, "n"))
+        return earlier & lengths & _similar(c(x, "n"), c(y, "n"), F.least(c(x, "rest"), c(y, "rest")), percent) & close
 
     pair = [F.col("x.doc").alias("doc"), F.col("x.line").alias("line"), F.col("y.doc").alias("to_doc"), F.col("y.line").alias("to_line")]
     nothing = docs.sparkSession.createDataFrame([], "doc long, line int")
     none_tried = docs.sparkSession.createDataFrame([], "doc long, line int, to_doc long, to_line int")
-    tables, done, tried, left = [copied, held, shared], nothing, none_tried, shared
+    tables, done, tried, left = [copied, shared], nothing, none_tried, shared
     # The first line of a token, then its first line among those with the fewest rarer tokens ahead,
     # which is the plainest of a group of edited copies.
     for ahead in (F.lit(0), F.col("n") - F.col("rest")):
-        leaders = shared.withColumn("ahead", ahead).groupBy("token").agg(F.min(F.struct("ahead", "doc", "line", "n", "rest")).alias("l"))
+        leaders = shared.withColumn("ahead", ahead).groupBy("token").agg(F.min(F.struct("ahead", "doc", "line", "n", "rest", "even", "odd")).alias("l"))
         leaders = stored(leaders.select("token", "l.*"), "line-leaders")
         new = left.alias("x").join(leaders.alias("y"), "token").filter(can_match("x", "y")).select(*pair).distinct()
         new = stored(new.join(tried, ["doc", "line", "to_doc", "to_line"], "left_anti"), "line-tries")
@@ -135,38 +185,13 @@ def matched_lines(documents: DataFrame, key: str = "doc_id", text: str = "text",
 def _tokens_of(docs: DataFrame, wanted: DataFrame, tokens_of: Callable[[Column], Column]) -> DataFrame:
     """doc, line, tokens of the lines in ``wanted``, from the texts."""
     wanted = stored(wanted.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("wanted")), "line-wanted")
-    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    size = wanted.agg(F.coalesce(F.sum(64 + 8 * F.size("wanted")), F.lit(0)).alias("bytes")).first()["bytes"]
+    side = F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted
     own = let(F.split("text", "\n"), lambda lines: F.transform("wanted", lambda i: F.struct(i.alias("line"), F.get(lines, i).alias("content"))))
     lines = docs.join(side, "doc").select("doc", F.explode(own).alias("z"))
     return lines.select("doc", "z.line", tokens_of(F.col("z.content")).alias("tokens")).filter("tokens is not null")
 
 
-def _with_frequent_last(docs: DataFrame, shared: DataFrame, seeds: DataFrame, percent: int, tokens_of: Callable[[Column], Column]) -> DataFrame:
-    """Postings under the order that has frequent tokens last, from postings by hash.
-
-    ``seeds`` are the prefix tokens of high count. Lines that hold one are counted with all their
-    tokens, which gives the rank of every frequent token.
-    """
-    hot = stored(shared.join(seeds.select("token"), "token").select("doc", "line").distinct(), "line-hot")
-    exploded = lambda lines: _tokens_of(docs, lines, tokens_of).select("doc", "line", F.explode("tokens").alias("token"))
-    of_hot = stored(exploded(hot), "line-hot-tokens")
-    counts = of_hot.groupBy("token").agg(F.count("*").alias("rank")).filter(F.col("rank") >= FREQUENT_FROM)
-    ranks = stored(counts, "line-ranks")
-    touched = shared.join(ranks, "token").select("doc", "line").distinct().join(hot, ["doc", "line"], "left_anti")
-    touched = stored(touched, "line-touched")
-    tokens = of_hot.unionByName(exploded(touched)).join(ranks, "token", "left")
-    rank = F.coalesce("rank", F.lit(0))
-    sets = tokens.groupBy("doc", "line").agg(F.sort_array(F.collect_set(F.struct(rank.alias("rank"), "token"))).alias("tokens"))
-    new = sets.select("doc", "line", F.size("tokens").alias("n"), F.posexplode(_prefix(F.col("tokens"), percent)).alias("pos", "t"))
-    new = new.select("t.token", "doc", "line", "n", (F.col("n") - F.col("pos")).alias("rest"))
-    same = shared.join(hot.unionByName(touched), ["doc", "line"], "left_anti")
-    both = stored(same.unionByName(new), "line-ordered")
-    held = both.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1").select("token")
-    out = stored(both.join(held, "token"), "line-reordered")
-    discard(hot, of_hot, ranks, touched, both)
-    return out
-
-
 def _verified(docs: DataFrame, pairs: DataFrame, percent: int, tokens_of: Callable[[Column], Column]) -> DataFrame:
     """(doc, line) of the pairs' later lines whose sets are similar enough."""
     other = pairs.select(F.col("to_doc").alias("doc"), F.col("to_line").alias("line"))

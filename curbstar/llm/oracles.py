@@ -73,9 +73,7 @@ FROM k"""
 LINES = r"""
 WITH l AS (SELECT doc_id, unnest(str_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(str_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
 w AS (SELECT doc_id, i, regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+') AS w FROM l),
-s AS (
-  SELECT doc_id, i, list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda x: array_to_string(list_slice(w, x, x + 4), ' '))) AS s
-  FROM w WHERE len(w) > 0),
+s AS (SELECT doc_id, i, list_distinct(w) AS s FROM w WHERE len(w) > 0),
 t AS (SELECT doc_id, i, len(s) AS n, unnest(s) AS token FROM s),
 pairs AS (
   SELECT x.doc_id, x.i, x.n, y.n AS m, count(*) AS common FROM t x JOIN t y ON x.token = y.token AND (y.doc_id, y.i) < (x.doc_id, x.i)

@@ -102,21 +102,21 @@ def mix_targets(sizes, weights=(1, 2, 3), percent=100, most=3):
         capped |= new
 
 
-def removed_lines(rows, percent=80):
-    """{(doc_id, line)} with an earlier line of similar shingles, a line of fewer words taken whole; rows: (doc_id, text), ids apart."""
+def removed_lines(rows, percent=80, k=1):
+    """{(doc_id, line)} with an earlier line of similar k-word shingles, a line of fewer words taken whole; rows: (doc_id, text), ids apart."""
     lines = []
     for d, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         for i, line in enumerate((text or "").split("\n")):
             w = space_words(line.lower())
             if w:
-                lines.append(((d, i), {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}))
+                lines.append(((d, i), {tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))}))
     holders, out = defaultdict(list), set()
-    for k, (at, s) in enumerate(lines):
+    for at_line, (at, s) in enumerate(lines):
         both = Counter(j for w in s for j in holders[w])
         if any(100 * n >= percent * (len(s) + len(lines[j][1]) - n) for j, n in both.items()):
             out.add(at)
         for w in s:
-            holders[w].append(k)
+            holders[w].append(at_line)
     return out
 
 

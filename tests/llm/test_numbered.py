@@ -77,9 +77,9 @@ def test_repeated_rows_link(spark):
     same(ngram_join.linked_documents(spark.createDataFrame(rows, "doc_id long, text string")), brute.linked(rows), "doc_id", "n_shingles", "component_id")
 
 
-@pytest.mark.parametrize("frequent_from", [2, 32])
-def test_removed_lines(docs, rows, monkeypatch, frequent_from):
-    monkeypatch.setattr(line_dedup, "FREQUENT_FROM", frequent_from)
+@pytest.mark.parametrize("frequent", [0, 64, 1 << 16])
+def test_removed_lines(docs, rows, monkeypatch, frequent):
+    monkeypatch.setattr(line_dedup, "FREQUENT_TOKENS", frequent)
     want = brute.removed_lines(rows)
     report = line_dedup.line_report(docs).collect()
     assert {(r["doc_id"], int(i)) for r in report for i in r["removed"].split(",") if i} == want
@@ -99,22 +99,22 @@ def word_set_copies(rows, percent=80):
     return out
 
 
-@pytest.mark.parametrize("frequent_from", [2, 32])
-def test_removed_lines_by_word_sets(spark, rows, monkeypatch, frequent_from):
+@pytest.mark.parametrize("shingle", [1, 5])
+def test_removed_lines_by_words_and_by_shingles(spark, rows, monkeypatch, shingle):
     """A line of 20 words with one changed in the middle has word Jaccard 19/21, shingle Jaccard 11/21."""
-    monkeypatch.setattr(line_dedup, "FREQUENT_FROM", frequent_from)
+    monkeypatch.setattr(line_dedup, "RANK_SLOTS", 64)
     base = [f"v{i}" for i in range(20)]
     own = rows[:40] + ODD + [(1, " ".join(base)), (2, " ".join([*base[:10], "other", *base[11:]]))]
     own = [(d, t) if d is None else (d + 100_000 * (k >= len(own) - 2), t) for k, (d, t) in enumerate(own)]
-    want = word_set_copies(own)
-    assert (100_002, 0) in want and (100_002, 0) not in brute.removed_lines(own)
-    report = line_dedup.line_report(spark.createDataFrame(own, "doc_id long, text string"), shingle=1).collect()
+    want = word_set_copies(own) if shingle == 1 else brute.removed_lines(own, k=5)
+    assert ((100_002, 0) in want) == (shingle == 1)
+    report = line_dedup.line_report(spark.createDataFrame(own, "doc_id long, text string"), shingle=shingle).collect()
     assert {(r["doc_id"], int(i)) for r in report for i in r["removed"].split(",") if i} == want
 
 
 def test_removed_lines_of_rows_that_share_an_id(spark):
     a, b, c = "a b c d e f g h", "the own line of a row goes on", "here is one more line of words"
-    rows = [(None, f"{b} 1\n{a}"), (None, f"{c} 2\n{a}"), (7, f"x\n{c}"), (7, f"x\n{c}"), (None, "z\nz"), (3, "z")]
+    rows = [(None, f"{b} 1\n{a}"), (None, f"{c} 2 3 4\n{a}"), (7, f"x\n{c}"), (7, f"x\n{c}"), (None, "z\nz"), (3, "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k))
     gone = brute.removed_lines([(at, rows[k][1]) for at, k in enumerate(order)])
@@ -127,7 +127,8 @@ def test_short_lines_are_compared_as_a_whole(spark):
     rows = [(1, "All rights reserved.\nown"), (2, "all  rights RESERVED.\n\n "), (3, "All rights\n\n"), (4, "own"), (5, None), (6, "a b c d e f"), (7, "a b c d e f")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     removed = lambda **options: {(r["doc_id"], r["removed"]) for r in line_dedup.line_report(docs, **options).collect() if r["removed"]}
-    assert removed(short=False) == {(7, "0")}
+    assert removed(shingle=5, short=False) == {(7, "0")}
+    assert removed(shingle=5) == {(2, "0"), (4, "0"), (7, "0")}
     assert removed() == {(2, "0"), (4, "0"), (7, "0")}
 
 
