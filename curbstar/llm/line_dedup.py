@@ -51,13 +51,15 @@ def _lines(documents: DataFrame) -> DataFrame:
 
 
 def line_tokens(content: Column, shingle: int = SHINGLE, short: bool = True) -> Column:
-    """Distinct runs of ``shingle`` words of a line as hashes in order. A line of fewer words is one
+    """Distinct runs of ``shingle`` words of a line as hashes. A line of fewer words is one
     token if ``short``, else null; a line without words is null."""
     # One literal space splits several times faster than an expression; other white space is rare.
     spaced = F.when(content.rlike("[\\x09-\\x0D]"), F.translate(content, "\t\x0b\x0c\r", "    ")).otherwise(content)
     words = F.filter(F.split(F.lower(spaced), " "), lambda w: w != "")
 
     def tokens(w: Column) -> Column:
+        if shingle == 1:
+            return F.when(F.size(w) > 0, F.array_distinct(F.transform(w, lambda x: F.xxhash64(x))))
         hash_at = lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(shingle)])
         hashes = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - shingle), hash_at))
         runs = F.when(F.size(w) >= shingle, F.sort_array(hashes))
@@ -142,14 +144,6 @@ def matched_lines(documents: DataFrame, key: str = "doc_id", text: str = "text",
     copied = lines.select("doc", "line", "g1", "g2").join(repeated, ["g1", "g2"])
     copied = stored(copied.filter((F.col("doc") != F.col("first.doc")) | (F.col("line") != F.col("first.line"))).select("doc", "line").distinct(), "line-repeats")
 
-    # Only the first line of a class has postings, and only tokens that two of them hold.
-    firsts = lines.join(copied, ["doc", "line"], "left_anti")
-    postings = firsts.select("doc", "line", "n", "even", "odd", F.posexplode("prefix").alias("pos", "token"))
-    held = stored(postings.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1").select("token"), "line-held")
-    shared = postings.join(held, "token")
-    shared = stored(shared.select("token", "doc", "line", "n", (F.col("n") - F.col("pos")).alias("rest"), "even", "odd"), "line-postings")
-    discard(lines, repeated, held)
-
     def can_match(x: str, y: str) -> Column:
         """y is earlier, and length, position and parities leave room for the overlap."""
         c = lambda side, name: F.col(f"{side}.{name}")
@@ -159,26 +153,37 @@ def matched_lines(documents: DataFrame, key: str = "doc_id", text: str = "text",
         close = (100 + percent) * apart <= (100 - percent) * (c(x, "n") + c(y, "n"))
         return earlier & lengths & _similar(c(x, "n"), c(y, "n"), F.least(c(x, "rest"), c(y, "rest")), percent) & close
 
-    pair = [F.col("x.doc").alias("doc"), F.col("x.line").alias("line"), F.col("y.doc").alias("to_doc"), F.col("y.line").alias("to_line")]
-    nothing = docs.sparkSession.createDataFrame([], "doc long, line int")
-    none_tried = docs.sparkSession.createDataFrame([], "doc long, line int, to_doc long, to_line int")
-    tables, done, tried, left = [copied, shared], nothing, none_tried, shared
-    # The first line of a token, then its first line among those with the fewest rarer tokens ahead,
-    # which is the plainest of a group of edited copies.
-    for ahead in (F.lit(0), F.col("n") - F.col("rest")):
-        leaders = shared.withColumn("ahead", ahead).groupBy("token").agg(F.min(F.struct("ahead", "doc", "line", "n", "rest", "even", "odd")).alias("l"))
-        leaders = stored(leaders.select("token", "l.*"), "line-leaders")
-        new = left.alias("x").join(leaders.alias("y"), "token").filter(can_match("x", "y")).select(*pair).distinct()
-        new = stored(new.join(tried, ["doc", "line", "to_doc", "to_line"], "left_anti"), "line-tries")
-        near = _verified(docs, new, percent, tokens_of)
-        done, tried = done.unionByName(near), tried.unionByName(new)
-        left = stored(left.join(near, ["doc", "line"], "left_anti"), "line-left")
-        tables += [leaders, new, near, left]
-    rest = left.alias("x").join(shared.alias("y"), "token").filter(can_match("x", "y")).select(*pair).distinct()
+    # Only the first line of a class has postings. Of each token two lead: the first line, and the one
+    # with the fewest rarer tokens ahead, which is the plainest of a group of edited copies.
+    firsts = lines.join(copied, ["doc", "line"], "left_anti")
+    postings = firsts.select("doc", "line", "n", "even", "odd", F.posexplode("prefix").alias("pos", "token")).withColumn("rest", F.col("n") - F.col("pos"))
+    own = ["doc", "line", "n", "rest", "even", "odd"]
+    leaders = postings.groupBy("token").agg(
+        F.count("*").alias("held"), F.min(F.struct(*own)).alias("first"), F.min(F.struct("pos", *own)).alias("plain")
+    ).filter("held > 1")
+    is_same = lambda y: (F.col("x.doc") == F.col(f"{y}.doc")) & (F.col("x.line") == F.col(f"{y}.line"))
+    tried_with = lambda y: F.when(can_match("x", y), F.struct(F.col(f"{y}.doc").alias("to_doc"), F.col(f"{y}.line").alias("to_line")))
+    shared = stored(
+        postings.alias("x").join(leaders, "token").select(
+            "token", *own, "held", (is_same("first") | is_same("plain")).alias("leads"),
+            tried_with("first").alias("to_first"), tried_with("plain").alias("to_plain"),
+        ),
+        "line-postings",
+    )
+    discard(lines, repeated)
+    pairs = shared.filter("to_first is not null or to_plain is not null").select("doc", "line", F.explode(F.array("to_first", "to_plain")).alias("to"))
+    tried = stored(pairs.filter("to is not null").select("doc", "line", "to.*").distinct(), "line-tries")
+    near = _verified(docs, tried, percent, tokens_of)
+    # A token of two lines has no pair but with its first.
+    open_tokens = shared.filter("held > 2")
+    left = open_tokens.join(near, ["doc", "line"], "left_anti").alias("x")
+    others = open_tokens.filter("not leads").alias("y")
+    rest = left.join(others, "token").filter(can_match("x", "y"))
+    rest = rest.select(F.col("x.doc").alias("doc"), F.col("x.line").alias("line"), F.col("y.doc").alias("to_doc"), F.col("y.line").alias("to_line")).distinct()
     rest = stored(rest.join(tried, ["doc", "line", "to_doc", "to_line"], "left_anti"), "line-rest")
     more = _verified(docs, rest, percent, tokens_of)
-    found = stored(copied.unionByName(done).unionByName(more).distinct(), "line-matches")
-    discard(*tables, rest, more)
+    found = stored(copied.unionByName(near).unionByName(more).distinct(), "line-matches")
+    discard(copied, shared, tried, near, rest, more)
     return found
 
 
