@@ -1,11 +1,13 @@
 """Personal data: checked patterns, and identifiers found from their contexts by bootstrapping.
 
 Base kinds (email, ip, card, phone) are regular expressions with a check of each match. Their
-matches seed the second part. The word before and the word after an entity are lexical patterns.
-In rounds, a pattern's confidence is the score of what stands in it over how often its word occurs
-in the whole corpus, and a candidate's score combines the confidences of its patterns. Patterns of
-high confidence so accept identifiers of shapes that no expression describes, which then support
-further patterns. Candidates are tokens with digits outside all base spans.
+matches seed the second part. The word before and the word after an entity, with the punctuation between
+them, are lexical patterns. In rounds, a pattern's confidence is the score of the accepted entities
+that stand in it over how often its word occurs in the whole corpus, less the places of candidates
+that are still undecided; so plain words at its place count against a pattern, unseen identifiers
+don't. A candidate's score combines the confidences of its patterns. Patterns of high confidence
+so accept identifiers of shapes that no expression describes, which then support further patterns,
+until no more are accepted. Candidates are tokens with digits outside all base spans.
 
 Everything is built-in functions: positions come from the pieces between matches and running
 sums. The texts are read twice, for matches and for counts of words.
@@ -35,17 +37,23 @@ CANDIDATE_CHARS = 6
 #: Code points of text next to an entity in which its neighbour words are sought.
 CONTEXT_CHARS = 64
 
-ROUNDS = 3
 LEAST_CONFIDENCE = 0.5
 LEAST_INSTANCES = 3
 
 
+#: A word as a pattern before or after an entity: letters, and the punctuation towards the entity.
+CONTEXT_WORDS = {
+    "before": r"\p{L}++[^\x20\x09-\x0D\p{L}\p{N}]*+",
+    "after": r"[^\x20\x09-\x0D\p{L}\p{N}]*+\p{L}++",
+}
+
+
 def _word_before(piece: Column) -> Column:
-    return F.lower(F.regexp_extract(F.right(piece, F.lit(CONTEXT_CHARS)), r"([^\x20\x09-\x0D]++)[\x20\x09-\x0D]+$", 1))
+    return F.lower(F.regexp_extract(F.right(piece, F.lit(CONTEXT_CHARS)), rf"({CONTEXT_WORDS['before']})[\x20\x09-\x0D]*+$", 1))
 
 
 def _word_after(piece: Column) -> Column:
-    return F.lower(F.regexp_extract(F.left(piece, F.lit(CONTEXT_CHARS)), r"^[\x20\x09-\x0D]+([^\x20\x09-\x0D]++)", 1))
+    return F.lower(F.regexp_extract(F.left(piece, F.lit(CONTEXT_CHARS)), rf"^[\x20\x09-\x0D]*+({CONTEXT_WORDS['after']})", 1))
 
 
 def located(text: Column, regex: str) -> Column:
@@ -106,12 +114,13 @@ def _patterns(occurrences: DataFrame) -> DataFrame:
     return rows.filter("p.word <> ''").select("instance", "seed", "p.side", "p.word")
 
 
-def bootstrapped_instances(texts: DataFrame, base: DataFrame, candidates: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def bootstrapped_instances(texts: DataFrame, base: DataFrame, candidates: DataFrame) -> DataFrame:
     """(instance, score) of the candidates that patterns of high confidence accept.
 
-    A pattern needs ``LEAST_INSTANCES`` different entities. Its confidence counts each occurrence
-    with its entity's score, 1 for base entities, and divides by the occurrences of its word in all
-    texts, so a word that mostly stands elsewhere never becomes a pattern.
+    A pattern needs ``LEAST_INSTANCES`` different accepted entities. Its confidence counts each of
+    their occurrences with the entity's score, 1 for base entities, and divides by the occurrences
+    of its word in all texts but those next to undecided candidates. What is accepted stays so;
+    rounds end when one accepts nothing new.
     """
     both = base.withColumn("seed", F.lit(1.0)).unionByName(candidates.withColumn("seed", F.lit(0.0)))
     edges = _patterns(both).groupBy("side", "word", "instance").agg(F.max("seed").alias("seed"), F.count("*").alias("times"))
@@ -119,23 +128,37 @@ def bootstrapped_instances(texts: DataFrame, base: DataFrame, candidates: DataFr
     broad = edges.groupBy("side", "word").agg(F.count("*").alias("kinds")).filter(F.col("kinds") >= LEAST_INSTANCES)
     edges = stored(edges.join(broad, ["side", "word"]).drop("kinds"), "pii-edges")
     wanted = edges.select("word").distinct()
-    words = texts.select(F.explode(F.split(F.lower("text"), "[\\x20\\x09-\\x0D]+")).alias("word"))
-    totals = words.groupBy("word").agg(F.count("*").alias("total")).join(wanted, "word")
-    edges = stored(edges.join(totals, "word"), "pii-graph")
-    scores = None
-    for _ in range(rounds):
+    # The words of both sides, from the texts as they are, so that they agree with the patterns.
+    each = F.explode(F.array(*[
+        F.struct(F.lit(side).alias("side"), F.regexp_extract_all("text", F.lit(regex), F.lit(0)).alias("words")) for side, regex in CONTEXT_WORDS.items()
+    ]))
+    words = texts.select(each.alias("s")).select("s.side", F.explode("s.words").alias("word")).withColumn("word", F.lower("word"))
+    wanted = edges.select("side", "word").distinct()
+    totals = words.groupBy("side", "word").agg(F.count("*").alias("total")).join(wanted, ["side", "word"])
+    edges = stored(edges.join(totals, ["side", "word"]), "pii-graph")
+    scores, accepted = None, 0
+    while True:
         scored = edges.withColumn("score", F.col("seed")) if scores is None else (
             edges.join(scores, "instance", "left").withColumn("score", F.greatest("seed", F.coalesce("found", F.lit(0.0)))).drop("found")
         )
+        decided = F.col("score") >= LEAST_CONFIDENCE
         confident = scored.groupBy("side", "word").agg(
-            (F.sum(F.col("score") * F.col("times")) / F.max("total")).alias("raw"),
-            F.sum((F.col("score") >= LEAST_CONFIDENCE).cast("int")).alias("entities"),
-        ).filter((F.col("raw") >= LEAST_CONFIDENCE) & (F.col("entities") >= LEAST_INSTANCES))
-        confident = confident.select("side", "word", F.least("raw", F.lit(0.99)).alias("confidence"))
+            F.sum(F.when(decided, F.col("score") * F.col("times")).otherwise(0.0)).alias("hits"),
+            F.sum(F.when(decided, F.col("times")).otherwise(0)).alias("taken"),
+            F.sum(F.when(decided, 0).otherwise(F.col("times"))).alias("undecided"),
+            F.sum(decided.cast("int")).alias("entities"), F.max("total").alias("total"),
+        ).filter(F.col("entities") >= LEAST_INSTANCES)
+        confident = confident.withColumn("confidence", F.least(F.col("hits") / F.greatest(F.col("total") - F.col("undecided"), "taken"), F.lit(0.99)))
+        confident = confident.filter(F.col("confidence") >= LEAST_CONFIDENCE).select("side", "word", "confidence")
         reached = edges.filter("seed = 0").join(confident, ["side", "word"])
         combined = reached.groupBy("instance").agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("found"))
-        scores = stored(combined.filter(F.col("found") >= LEAST_CONFIDENCE), "pii-scores")
-    return scores.withColumnRenamed("found", "score")
+        new = combined.filter(F.col("found") >= LEAST_CONFIDENCE)
+        if scores is not None:
+            new = new.unionByName(scores).groupBy("instance").agg(F.max("found").alias("found"))
+        scores = stored(new, "pii-scores")
+        before, accepted = accepted, scores.count()
+        if accepted == before:
+            return scores.withColumnRenamed("found", "score")
 
 
 def personal_spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -250,6 +250,18 @@ def test_personal_data(spark, rows):
     assert spans == {20: "context:11:19"}
 
 
+def test_contexts_accept_what_is_unseen(spark):
+    """More unseen codes than seeds, punctuation between word and code, a second round through a new
+    pattern; years and numbers next to plain words are none."""
+    rows = [(i, f"contact badge: u{i}@mail.de now") for i in range(4)] + [(10 + i, f"his badge: QX-99{800 + i} here") for i in range(10)]
+    rows += [(30 + i, f"see ID:(10.1.2.{i}) there") for i in range(3)] + [(40 + i, f"see ID:(ZK-5{4000 + i}) there") for i in range(5)]
+    rows += [(50 + i, f"pass QX-99{800 + i}") for i in range(4)] + [(54, "pass LM-77001")]
+    rows += [(60 + i, f"in the year {20000 + i} and the number {555000 + i} of the plain words") for i in range(8)]
+    out = pii.span_report(spark.createDataFrame(rows, "doc_id long, text string")).filter("n_context > 0").collect()
+    assert {r["doc_id"] for r in out} == {*range(10, 20), *range(40, 45), *range(50, 55)}
+    assert {r["spans"] for r in out if 40 <= r["doc_id"] < 45} == {"context:8:16"}
+
+
 def test_license_phrases(docs, rows, spark):
     both = rows + [(1, "CC-BY-NC cc by nc by nc. under the MIT license under the mit license"), (2, "Apache License, Version 2.0")]
     report = licenses.license_report(spark.createDataFrame(both, "doc_id long, text string"))
