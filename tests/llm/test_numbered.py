@@ -330,6 +330,15 @@ def test_archives_round_trip(spark, sf_dir):
     assert found == {r["url"]: keys[warc.url_key(r["url"])] for r in asked.collect() if warc.url_key(r["url"]) in keys}
 
 
+def test_report_writes_no_index_that_nothing_reads(spark, monkeypatch):
+    def unread(*_, **__):
+        raise AssertionError("the report does not read an index")
+
+    monkeypatch.setattr(warc, "write_index", unread)
+    pages = spark.createDataFrame([(1, "u", "ab"), (2, "v", "ab")], "page_id long, url string, html string")
+    same(warc.archive_report(pages), [(1, "revisit", 2), (2, "response", None)], "page_id", "record_type", "refers_to")
+
+
 def test_shorter_payloads_are_all_responses(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], "page_id long, url string, html string")
     captures = warc.written_archives(pages, scratch_path(spark, "warc-short"), least_bytes=3)
