@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbstar.llm.common import KEY, keyed, let
@@ -158,13 +158,18 @@ def matched_lines(documents: DataFrame, key: str = "doc_id", text: str = "text",
     firsts = lines.join(copied, ["doc", "line"], "left_anti")
     postings = firsts.select("doc", "line", "n", "even", "odd", F.posexplode("prefix").alias("pos", "token")).withColumn("rest", F.col("n") - F.col("pos"))
     own = ["doc", "line", "n", "rest", "even", "odd"]
-    leaders = postings.groupBy("token").agg(
-        F.count("*").alias("held"), F.min(F.struct(*own)).alias("first"), F.min(F.struct("pos", *own)).alias("plain")
+    # One shuffle of the postings by token: the leaders are window aggregates over it, not an
+    # aggregate joined back, which shuffled the postings twice and wide partial rows besides. The
+    # explicit repartition keeps the window's struct inputs out of the shuffled rows.
+    by_token = Window.partitionBy("token")
+    leaders = postings.repartition("token").select(
+        "token", *own, F.count("*").over(by_token).alias("held"),
+        F.min(F.struct(*own)).over(by_token).alias("first"), F.min(F.struct("pos", *own)).over(by_token).alias("plain"),
     ).filter("held > 1")
     is_same = lambda y: (F.col("x.doc") == F.col(f"{y}.doc")) & (F.col("x.line") == F.col(f"{y}.line"))
     tried_with = lambda y: F.when(can_match("x", y), F.struct(F.col(f"{y}.doc").alias("to_doc"), F.col(f"{y}.line").alias("to_line")))
     shared = stored(
-        postings.alias("x").join(leaders, "token").select(
+        leaders.alias("x").select(
             "token", *own, "held", (is_same("first") | is_same("plain")).alias("leads"),
             tried_with("first").alias("to_first"), tried_with("plain").alias("to_plain"),
         ),
