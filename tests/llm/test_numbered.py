@@ -1,10 +1,12 @@
 """The numbered operators against plain Python, on given documents and on hand-made rows."""
 
 import collections
+import gzip
 import random
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 from curbstar.llm import decontaminate, licenses, line_dedup, main_text, mixing, ngram_join, pii, quality, token_counts, warc
 from curbstar.sources.scratch import scratch_path
@@ -339,6 +341,35 @@ def test_report_writes_no_index_that_nothing_reads(spark, monkeypatch):
     same(warc.archive_report(pages), [(1, "revisit", 2), (2, "response", None)], "page_id", "record_type", "refers_to")
 
 
+def test_the_report_reads_what_its_index_leads_to(spark, monkeypatch, tmp_path):
+    """The index of a report holds a line for each row, and a row whose line is lost is not reported."""
+    monkeypatch.setattr(warc, "scratch_path", lambda *_: str(tmp_path / "report"))
+    rows = PAGES + [(i, f"http://b.org/{i}", f"<p>{i % 5}</p>") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    want = brute.archived([(p, h) for p, _, h in rows])
+    same(warc.archive_report(pages), want, *columns)
+    files = sorted((tmp_path / "report/index").glob("*.cdx.gz"))
+    lines = [line for f in files for line in gzip.decompress(f.read_bytes()).decode().splitlines()]
+    assert sorted(line.partition(" ")[0] for line in lines) == sorted(warc.url_key(u) for _, u, _ in rows)
+    assert all((f.parent / f"{f.name}.dir").exists() for f in files)
+    read, lost = warc.read_archives, warc.url_key("http://b.org/7")
+    monkeypatch.setattr(warc, "scratch_path", lambda *_: str(tmp_path / "lost"))
+    monkeypatch.setattr(warc, "read_archives", lambda captures: read(captures.filter(F.col("key") != lost)))
+    same(warc.archive_report(pages), [w for w, r in zip(want, rows) if r[1] != "http://b.org/7"], *columns)
+
+
+def test_an_index_read_back_names_all_captures(spark, tmp_path):
+    pages = spark.createDataFrame(PAGES + [(i, f"u{i % 9}", "x" * i) for i in range(50)], "page_id long, url string, html string")
+    captures = warc.written_archives(pages, str(tmp_path / "archives"), file_bytes=2_000)
+    columns = ["key", "page_id", "record_type", "digest", "path", "offset", "length"]
+    found = warc.indexed_captures(captures, str(tmp_path / "index"), block_lines=4)
+    same(found, [tuple(r) for r in captures.select(*columns).collect()], *columns)
+    cut = found.withColumn("length", F.col("length") - 1)
+    with pytest.raises(Exception, match="no whole member"):
+        warc.read_archives(cut).collect()
+
+
 def test_shorter_payloads_are_all_responses(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], "page_id long, url string, html string")
     captures = warc.written_archives(pages, scratch_path(spark, "warc-short"), least_bytes=3)
